@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The workload summarises finished simulation runs; it has no stream source,
+window, watermark or state.  Incremental arrival of runs is handled by the batch
+products re-reading the partitioned run directory (each run is one
+``model_run=N`` partition), so nothing here is needed.
+"""
