@@ -40,11 +40,10 @@ def _col(c: Column | str) -> Column:
 def int_band(c: Column | str, ranges: Sequence[tuple[int, int, str]], default: str | None) -> Column:
     """Lookup of whole values in inclusive ranges; null/fractional/other -> default."""
     x = _col(c)
-    whole = x == F.floor(x)
-    expr = None
+    expr = F.when(x != F.floor(x), F.lit(default))  # fractional values: default band
     for lo, hi, label in ranges:
-        cond = (x >= lo) & (x <= hi) & whole
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+        cond = (x == lo) if lo == hi else x.between(lo, hi)
+        expr = expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(default))
 
 

@@ -102,27 +102,37 @@ def to_aggregated_path(col: Column) -> Column:
     return F.regexp_replace(col, f"^{FULL_ROOT}/", f"{AGG_ROOT}/")
 
 
-def run_completeness(listing: DataFrame, col: str = "path", n_runs: int | None = None) -> DataFrame:
-    """Per scenario prefix of a file listing, are full results there?
+def run_completeness(listing: DataFrame, col: str = "path", n_runs: int | None = None,
+                     group_col: str | None = None, expected: DataFrame | None = None) -> DataFrame:
+    """Per listing (default: per scenario prefix of the path), are full results there?
 
     ok = some ``model_run=N/0.parquet``; otherwise the first failing check:
     flat (no directory), no ``model_run=`` directory, no parquet in one.  With
-    ``n_runs`` also whether every run 1..n_runs has its parquet file.
+    ``n_runs`` also whether every run has its parquet file.  ``group_col`` names
+    a listing id column instead of the derived prefix; ``expected`` (one column,
+    the listing id) reports listings with no files at all as flat.
     """
     p = F.col(col)
     parts = F.split(p, "/")
-    prefix = F.when(F.size(parts) > PATH_DEPTH,
-                    F.array_join(F.slice(parts, 1, PATH_DEPTH), "/")).otherwise(p)
+    if group_col is None:
+        key = F.when(F.size(parts) > PATH_DEPTH,
+                     F.array_join(F.slice(parts, 1, PATH_DEPTH), "/")).otherwise(p)
+    else:
+        key = F.col(group_col)
     has_dir = p.contains("/")
     has_run = p.contains("/model_run=")
     has_pq = has_run & p.endswith("/0.parquet")
     run_no = F.regexp_extract(p, r"/model_run=(\d+)/", 1)
-    g = listing.groupBy(prefix.alias("prefix")).agg(
+    g = listing.groupBy(key.alias("prefix")).agg(
         F.bool_or(has_dir).alias("has_directories"),
         F.bool_or(has_run).alias("has_model_run_dirs"),
         F.bool_or(has_pq).alias("has_parquet_in_model_run"),
         F.count_distinct(F.when(has_pq, run_no)).alias("runs_with_parquet"),
     )
+    if expected is not None:
+        g = expected.select(F.col(expected.columns[0]).alias("prefix")).join(g, "prefix", "left") \
+            .na.fill(False, subset=["has_directories", "has_model_run_dirs",
+                                    "has_parquet_in_model_run"]).na.fill(0, subset=["runs_with_parquet"])
     complete = F.col("has_directories") & F.col("has_model_run_dirs") & F.col("has_parquet_in_model_run")
     status = (F.when(complete, F.lit("ok"))
               .when(~F.col("has_directories"), F.lit("flat"))
