@@ -17,17 +17,17 @@ def suppress_small_counts(df: DataFrame, full_keys: Sequence[str], group_keys: S
     other keys read ``grouped``.  Null values drop out (D15); re-summed groups may
     still be small (D13).  With no small cell the input comes back unchanged.
 
-    Only the small rows are shuffled again: the two branches share the input's
-    exchange (Spark reuses it), and the big side passes straight through.
-    ``flag`` marks re-summed rows, since a real key could equal ``grouped``.
+    One pass over the (already aggregated, one row per ``full_keys``) cells: small
+    cells get their collapsed keys rewritten, ``flag`` joins the grouping key (a real
+    key could equal ``grouped``), and a single grouped sum does the rest, partial
+    aggregation first, so the input plan is evaluated once.
     """
     full_keys, group_keys = list(full_keys), list(group_keys)
-    collapsed = [c for c in full_keys if c not in group_keys]
-    keep = df.where(F.col(value) >= threshold).select(
-        *[F.col(c).cast("string").alias(c) if c in collapsed else F.col(c) for c in full_keys],
-        F.col(value), F.lit(False).alias(flag))
-    small = df.where(F.col(value) < threshold).groupBy(*group_keys).agg(F.sum(value).alias(value))
-    grouped = small.select(
-        *[F.lit(grouped_value).alias(c) if c in collapsed else F.col(c) for c in full_keys],
-        F.col(value), F.lit(True).alias(flag))
-    return keep.unionByName(grouped)
+    collapsed = set(full_keys) - set(group_keys)
+    small = F.col(value) < threshold
+    rows = df.where(F.col(value).isNotNull()).select(
+        *[F.when(small, F.lit(grouped_value)).otherwise(F.col(c).cast("string")).alias(c)
+          if c in collapsed else F.col(c) for c in full_keys],
+        small.alias(flag), F.col(value))
+    out = rows.groupBy(*full_keys, flag).agg(F.sum(value).alias(value))
+    return out.select(*full_keys, value, flag)

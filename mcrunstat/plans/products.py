@@ -18,6 +18,7 @@ from ..operators.combine import attach_baseline
 from ..operators.montecarlo import N_RUNS, fill_missing_groups, normal_ci, run_summary
 from ..operators.suppress import suppress_small_counts
 from ..schema import HRG, STANDARD, AggConfig
+from ..session import materialize
 from ..sources.catalog import run_completeness
 
 
@@ -210,17 +211,21 @@ def _national_stats(per_run: DataFrame) -> DataFrame:
 
 
 def national_results(sample: DataFrame, runs: DataFrame) -> DataFrame:
-    """P8 results: A10 + A11 with the zero runs folded in analytically."""
-    return _national_stats(national_per_run(sample, runs))
+    """P8 results: A10 + A11 with the zero runs folded in analytically.
+
+    The per-run table (runs x cells, already reduced) is materialised once: it
+    feeds both the run count and the per-cell moments.
+    """
+    return _national_stats(materialize(national_per_run(sample, runs)))
 
 
 def national_avoided(sample: DataFrame, avoided: DataFrame) -> DataFrame:
-    return _national_stats(national_avoided_per_run(sample, avoided))
+    return _national_stats(materialize(national_avoided_per_run(sample, avoided)))
 
 
 def national_filled(sample: DataFrame, runs: DataFrame) -> DataFrame:
     """A10 materialised: every (run, national cell) pair, zeros where absent."""
-    return fill_missing_groups(national_per_run(sample, runs), list(NATIONAL_CELLS),
+    return fill_missing_groups(materialize(national_per_run(sample, runs)), list(NATIONAL_CELLS),
                                ["beddays", "admissions"])
 
 

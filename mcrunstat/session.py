@@ -51,3 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where a reduced intermediate feeds several consumers (a scalar subquery and
+    the main aggregate): the upstream scan and join run once, and lineage is cut so
+    a lost executor does not replay them.  Never a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
