@@ -48,3 +48,17 @@ def output_base(spark: SparkSession, scenario: str, product: str, activity: str,
     """The aggregation type is part of the output name."""
     root = root or os.path.join(ensure_checkpoint_dir(spark), "outputs")
     return f"{root.rstrip('/')}/{scenario}_{product}_{activity}_{agg_type}"
+
+
+def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "rn",
+                  partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    """Store a baseline or run table bucketed (and sorted) by ``key``.
+
+    When both sides of the baseline/run join are stored this way with the same
+    bucket count, Spark joins them bucket by bucket without shuffling either side;
+    ``partition_by`` (e.g. ``model_run``, ``fyear``) keeps directory pruning.
+    """
+    w = df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(table)

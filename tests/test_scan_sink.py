@@ -34,3 +34,28 @@ def test_write_results_skips_when_both_exist(spark):
     back = spark.read.parquet(f"{base}.parquet")
     assert sorted(r["k"] for r in back.collect()) == ["a", "b"]
     assert spark.read.option("header", True).csv(f"{base}.csv").count() == 2
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from mcrunstat.operators.measures import ip_run_rows
+    from mcrunstat.sources.sink import save_bucketed
+
+    base = spark.createDataFrame(
+        [(i, "S1", 30, "ip_elective_admission", "t", 1, 3, "1", "a") for i in range(40)],
+        "rn long, sitetret string, age int, pod string, tretspef string, has_procedure int,"
+        " speldur int, classpat string, age_group string")
+    runs = spark.createDataFrame([(i % 40, r, 2, "1") for i in range(200) for r in (1, 2)],
+                                 "rn long, model_run int, speldur int, classpat string")
+    spark.sql("drop table if exists t_base_b")
+    spark.sql("drop table if exists t_runs_b")
+    save_bucketed(base, "t_base_b", 4)
+    save_bucketed(runs, "t_runs_b", 4)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = ip_run_rows(spark.table("t_base_b"), spark.table("t_runs_b"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 400
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
