@@ -51,14 +51,18 @@ def output_base(spark: SparkSession, scenario: str, product: str, activity: str,
 
 
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "rn",
-                  partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+                  partition_by: Sequence[str] = (), mode: str = "overwrite",
+                  path: str | None = None) -> None:
     """Store a baseline or run table bucketed (and sorted) by ``key``.
 
     When both sides of the baseline/run join are stored this way with the same
     bucket count, Spark joins them bucket by bucket without shuffling either side;
-    ``partition_by`` (e.g. ``model_run``, ``fyear``) keeps directory pruning.
+    ``partition_by`` (e.g. ``model_run``, ``fyear``) keeps directory pruning;
+    ``path`` stores the table at a shared location instead of the warehouse.
     """
     w = df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(table)

@@ -46,14 +46,15 @@ def test_bucketed_tables_join_without_shuffle(spark):
         " speldur int, classpat string, age_group string")
     runs = spark.createDataFrame([(i % 40, r, 2, "1") for i in range(200) for r in (1, 2)],
                                  "rn long, model_run int, speldur int, classpat string")
-    spark.sql("drop table if exists t_base_b")
-    spark.sql("drop table if exists t_runs_b")
-    save_bucketed(base, "t_base_b", 4)
-    save_bucketed(runs, "t_runs_b", 4)
+    loc = tempfile.mkdtemp(prefix="bucketed-")
+    tag = os.path.basename(loc).replace("-", "_")
+    tb, tr = f"base_{tag}", f"runs_{tag}"
+    save_bucketed(base, tb, 4, path=f"{loc}/base")
+    save_bucketed(runs, tr, 4, path=f"{loc}/runs")
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = ip_run_rows(spark.table("t_base_b"), spark.table("t_runs_b"))
+        joined = ip_run_rows(spark.table(tb), spark.table(tr))
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         assert joined.count() == 400
