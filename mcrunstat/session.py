@@ -37,20 +37,25 @@ def get_spark(master: str | None = None, app: str = "mcrunstat",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only when unset.
+    """Return the shared checkpoint folder and register it once per context.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    A machine-local folder is only chosen here when nothing is configured (tests).
+    ``spark.checkpoint.dir`` names the folder that driver and executors share and is
+    used as is.  Where it is unset, a scratch folder is chosen for a single-process
+    master (``local`` / ``local[n]``, as in tests); any other master raises, because
+    its executors could not read a machine-local folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="mcrunstat-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(
+                f"spark.checkpoint.dir is not set for master {sc.master}: name a folder that "
+                "the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="mcrunstat-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared)
+    return shared.rstrip("/")
 
 
 def materialize(df):
