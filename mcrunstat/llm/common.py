@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,21 @@ from mcrunstat.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package's code to the workers once per context, so that tasks can import
+    it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_mcrunstat_sent", None) is None:
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="mcrunstat-code-")) / "mcrunstat.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(target))
+        sc._mcrunstat_sent = str(target)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Columns of one input table; only Spark's reader opens the path."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

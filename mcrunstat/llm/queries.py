@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mcrunstat.llm.common import table
+from mcrunstat.llm.common import ship, table
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +14,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_by_source(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {f.__name__: f for f in (op8_mixing,)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.quality import judge, train
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return judge(docs, train(docs, table(spark, sf_dir, "labels", "doc_id", "quality")))
+
+
+def _with_code(query):
+    return lambda spark, sf_dir: query(ship(spark), sf_dir)
+
+
+QUERIES = {f.__name__: _with_code(f) for f in (op8_mixing, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {}
