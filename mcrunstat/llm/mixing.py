@@ -145,7 +145,7 @@ def mix(docs: DataFrame, members: str, size: str, quotas: Callable[[dict], dict]
             .filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("n") >= F.col("_rest")))
             .select("_key", F.col("_bucket").alias("_edge"), "_before"))
     plan = plan.join(stored(edge, "mix-edge"), "_key", "left")
-    dealt = keyed.join(plan, "_key")
+    dealt = keyed.join(plan.hint("broadcast") if len(found) < 10_000 else plan, "_key")
     # no rest: no edge, and only whole passes
     inside = F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(False))
     at = F.coalesce(F.col("_bucket") == F.col("_edge"), F.lit(False))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mcrunstat.llm.common import ship, table
 
@@ -14,6 +15,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_by_source(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.lm import crc_split, score, train
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", crc_split(F.col("doc_id")))
+    return score(docs, train(docs.filter("not held_out")), ("doc_id", "held_out"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm.quality import judge, train
 
@@ -25,7 +33,7 @@ def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op8_mixing, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (op8_mixing, op9_lm_scoring, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {}
