@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from mcrunstat.llm.common import ship, table
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.decontaminate import digest, phrases, search
+
+    known = phrases(table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return digest(search(table(spark, sf_dir, "documents", "doc_id", "text"), known))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm.mixing import mix_by_source
 
@@ -33,7 +40,7 @@ def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op8_mixing, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {}
