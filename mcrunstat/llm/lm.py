@@ -208,7 +208,8 @@ def train(docs: DataFrame) -> Model:
             order = np.argsort(h)
             ha.save(words_at, "hash", shard, h[order])
             ha.save(words_at, "n", shard, n[order])
-            top = np.argsort(-n)[:HOT_CONTEXTS]
+            # hashes spread the frequent words over the shards; a miss costs balance only
+            top = np.argsort(-n)[: 8 + 4 * HOT_CONTEXTS // (1 << bits)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([len(h)]), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())]),
                  pa.array([h[top].view(np.int64)], pa.list_(pa.int64())), pa.array([n[top]], pa.list_(pa.int64()))],
@@ -223,7 +224,7 @@ def train(docs: DataFrame) -> Model:
     sizes = stored(words.mapInArrow(write_words, "shard int, size long, tokens long, words long, top array<long>, "
                                                  "top_n array<long>"), "lm-sizes")
     rows = sizes.select("shard", "size", "tokens", "words").collect()  # one row a shard
-    frequent = (sizes.select(F.explode(F.arrays_zip("top", "top_n")).alias("t")).select("t.top", "t.top_n")
+    frequent = (sizes.select(F.inline(F.arrays_zip("top", "top_n")))
                 .orderBy(F.desc("top_n"), "top").limit(HOT_CONTEXTS).collect())
     per = np.zeros((1 << bits) + 1, np.int64)
     for r in rows:
