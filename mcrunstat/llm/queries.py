@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from mcrunstat.llm.common import ship, table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.simhash import hex_digits, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, distance=4)
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm.decontaminate import digest, phrases, search
 
@@ -40,7 +47,7 @@ def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (op2_simhash, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {}
