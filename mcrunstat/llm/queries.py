@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mcrunstat.llm.common import ship, table
+from mcrunstat.llm.common import scratch, ship, table
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm import warc
+
+    archive = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), archive)
+    found = warc.captures(warc.read(warc.index(spark, archive)))
+    return found.select(F.col("page_id").cast("long"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast("long"), "url")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm.decontaminate import digest, phrases, search
 
@@ -47,7 +57,17 @@ def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op2_simhash, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (op2_simhash, op5_warc, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages
+        ), f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+        SELECT page_id, n::BIGINT AS payload_bytes, p.d AS payload_digest,
+               CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to, url
+        FROM p LEFT JOIN f ON p.d = f.d
+    """,
+}
