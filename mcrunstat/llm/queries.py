@@ -15,6 +15,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.repeats import dedup
+
+    return dedup(table(spark, sf_dir, "documents", "doc_id", "text"), length=400)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm import warc
 
@@ -57,7 +63,7 @@ def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op2_simhash, op5_warc, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (op2_simhash, op4_suffix_dedup, op5_warc, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {
