@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from mcrunstat.llm.common import scratch, ship, table
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from mcrunstat.llm import tokenfiles
+
+    folder = scratch(spark, "tokens")
+    tokenfiles.write(table(spark, sf_dir, "documents", "doc_id", "text"), folder,
+                     public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokenfiles.read(spark, folder, values=False)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm.simhash import hex_digits, near_duplicates
 
@@ -63,7 +74,7 @@ def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op2_simhash, op4_suffix_dedup, op5_warc, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (op1_token_files, op2_simhash, op4_suffix_dedup, op5_warc, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {
