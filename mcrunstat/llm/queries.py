@@ -42,6 +42,13 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("refers_to").cast("long"), "url")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.pii import find, train
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return find(docs, train(docs))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm.decontaminate import digest, phrases, search
 
@@ -74,7 +81,7 @@ def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op1_token_files, op2_simhash, op4_suffix_dedup, op5_warc, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (op1_token_files, op2_simhash, op4_suffix_dedup, op5_warc, op6_pii, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {
