@@ -21,19 +21,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mcrunstat.llm import textbytes as tb
 from mcrunstat.llm.common import n_partitions, stored
+from mcrunstat.llm.hasharrays import find
 from mcrunstat.llm.huffman import Code, code_lengths
 
 BLOCK_IDS, STEP, WIDTH = 1 << 16, 512, 16
-CACHED_WORDS = 400_000
+CACHED_WORDS = 3_000_000
 #: Between words that are encoded together; a special token of its own.
 _MARK = "<|startoftext|>"
+_TAIL = ".,!?:;*$&%#"
 
 
 class _Encoder:
     """Ids of whole texts.  The tokenizer splits at white space before anything else, so a
     text's ids are those of its words in turn; each distinct word is encoded once and
-    remembered, up to a bound."""
+    remembered by its 64-bit hash, up to a bound: a large sorted table, and a small one
+    of the newest words that joins it when it has grown."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -41,30 +45,112 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.token_to_id(_MARK)
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w] if self.mark is not None else []
-        odd = [w for w in words if b"<|" in w] if self.mark is not None else words
-        groups = [plain[i: i + 256] for i in range(0, len(plain), 256)]
-        texts = [_MARK.join(w.decode() for w in g) for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.mark)
-            data, begin = ids.tobytes(), [0, *(4 * cuts + 4).tolist()]
-            for w, a, b in zip(g, begin, [*(4 * cuts).tolist(), len(data)]):
-                self.known[w] = data[a:b]
-        for w, e in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, np.uint32).tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").encode().split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = set().union(*words).difference(self.known) if words else set()
-        self._learn(sorted(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.levels = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2  # sorted hashes, their entries
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has."""
+        odd = [k for k, w in enumerate(words) if self.mark is None or "<|" in w]
+        alone = dict(zip(odd, (e.ids for e in self.tokenizer.encode_batch_fast(
+            [words[k] for k in odd], add_special_tokens=False))))
+        plain = ["" if k in alone else w for k, w in enumerate(words)] if odd else words
+        ids, sizes = [], []
+        for lo in range(0, len(plain), 256 * 64):
+            groups = [plain[k: k + 256] for k in range(lo, min(lo + 256 * 64, len(plain)), 256)]
+            for g, e in zip(groups, self.tokenizer.encode_batch_fast([_MARK.join(g) for g in groups], add_special_tokens=False)):
+                own = np.array(e.ids, np.uint32)
+                cuts = np.concatenate([[-1], np.flatnonzero(own == self.mark) if self.mark is not None else [], [len(own)]])
+                sizes.append(np.diff(cuts.astype(np.int64)) - 1)
+                ids.append(own[own != self.mark] if self.mark is not None else own)
+        if not odd:
+            return np.concatenate(ids), np.concatenate(sizes)
+        sizes_ = np.concatenate(sizes)
+        parts = np.split(np.concatenate(ids), np.cumsum(sizes_)[:-1])
+        for k, own in alone.items():
+            parts[k], sizes_[k] = np.array(own, np.uint32), len(own)
+        return np.concatenate(parts), sizes_
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """The tokenizer lower-cases, and cuts between a letter or digit and punctuation; so
+        an ASCII word is looked up in lower case, and without the punctuation at its end."""
+        cores, tails = [], []
+        for w in words:
+            core = w.rstrip(_TAIL)
+            if not core or not core[-1].isalnum() or "<|" in w:
+                core = w
+            tails.append(w[len(core):])
+            cores.append(core.lower() if core.isascii() and "<|" not in core else core)
+        parts = sorted({*cores, *tails} - {""})
+        off = np.concatenate([[0], np.cumsum([len(x.encode()) for x in parts])])
+        data = np.frombuffer("".join(parts).encode(), np.uint8)
+        h = tb.ranges(tb.prefix(tb.TABLES[0][data]), off[:-1], off[1:])
+        new = np.flatnonzero(self._places(h) < 0)
+        if len(new):
+            self._insert(h[new], *self._ids([parts[k] for k in new]))
+        place = dict(zip(parts, self._places(h).tolist()))
+        place[""] = -1
+        rest = np.flatnonzero(self._places(hashes) < 0)
+        if len(rest):
+            at = np.array([(place[cores[k]], place[tails[k]]) for k in rest], np.int64).reshape(-1)
+            ids, size = self._take(at)
+            self._insert(hashes[rest], ids, size.reshape(-1, 2).sum(1))
+
+    def _take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries one after another, and each entry's number (-1: none)."""
+        size = np.where(at >= 0, self.flat[at], 0).astype(np.int64)
+        total = np.cumsum(size)
+        return self.flat[np.arange(total[-1]) + np.repeat(at + 1 - (total - size), size)], size
+
+    def _insert(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        need = self.used + len(ids) + len(sizes)
+        if need > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
+        # a word's entry: the number of its ids, then the ids
+        at = np.cumsum(sizes + 1) - (sizes + 1) + self.used
+        entry = np.ones(len(ids) + len(sizes), bool)
+        entry[at - self.used] = False
+        block = self.flat[self.used: need]
+        block[~entry], block[entry] = sizes, ids
+        self.used = need
+        new_h, new_at = np.concatenate([self.levels[1][0], hashes]), np.concatenate([self.levels[1][1], at])
+        order = np.argsort(new_h)
+        self.levels[1] = (new_h[order], new_at[order])
+        if len(new_h) > 1 << 18:
+            h, a = (np.concatenate([x, y]) for x, y in zip(*self.levels))
+            order = np.argsort(h)
+            self.levels = [(h[order], a[order]), (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), -1, np.int64)
+        for h, at in self.levels:
+            k = find(h, hashes)
+            hit = k >= 0
+            out[hit] = at[k[hit]]
+        return out
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows of a byte batch, and the number of each row's."""
+        start, end = tb.words(data, off)
+        rows = len(off) - 1
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
+        h = tb.ranges(tb.prefix(tb.TABLES[0][data]), start, end)
+        unique, first, back = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.levels[0][0]) > CACHED_WORDS:
+            self._forget()
+        place = self._places(unique)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            text = data.tobytes()
+            self._learn(unique[new], [text[a:b].decode() for a, b in zip(
+                start[first[new]].tolist(), end[first[new]].tolist())])
+            place[new] = self._places(unique[new])
+        at = place[back]
+        ids, size = self._take(at)
+        return ids, np.bincount(tb.rows_of(off, start), size, rows).astype(np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -72,30 +158,33 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", group: int = 500) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id") -> DataFrame:
     """``key``, ``n`` and packed ids of each whole text with ``end_id`` after it, and rows
     with a null pack that hold each task's counts by id (``seen``, ``times``)."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(it):
         encoder, pack = _encoder(tokenizer), zstandard.ZstdCompressor(level=1)
-        end = np.array([end_id], "<u4").tobytes()
         counts = np.zeros(1 << 16, np.int64)
         schema = None
         for b in it:
             schema = b.schema.field(0).type
-            for lo in range(0, b.num_rows, group):
-                part = b.slice(lo, group)
-                ids = [x + end for x in encoder.encode(part.column("_text").to_pylist())]
-                n = pa.array([len(x) // 4 for x in ids], pa.int64())
-                every = np.frombuffer(b"".join(ids), "<u4")
-                if len(every) and every.max() >= len(counts):
+            for lo, hi, data, off in tb.batches(b.column("_text")):
+                ids, n = encoder.encode(data, off)
+                # the end id after each row's ids
+                last = np.cumsum(n + 1) - 1
+                every = np.full(len(ids) + len(n), end_id, np.uint32)
+                inner = np.ones(len(every), bool)
+                inner[last] = False
+                every[inner] = ids
+                if every.max() >= len(counts):
                     counts = np.pad(counts, (0, 1 << int(every.max()).bit_length()))
                 counts[: (top := int(every.max()) + 1)] += np.bincount(every, minlength=top)
-                small = [pack.compress(_planes(x)) for x in ids]
-                none = pa.nulls(part.num_rows, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), n, pa.array(small, pa.binary()), none, none],
-                                                 [key, "n", "packed", "seen", "times"])
+                small = [pack.compress(_planes(every[a:z + 1])) for a, z in zip(last - n, last)]
+                none = pa.nulls(hi - lo, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(lo, hi - lo), pa.array(n + 1), pa.array(small, pa.binary()), none, none],
+                    [key, "n", "packed", "seen", "times"])
         if schema is not None:
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -107,9 +196,9 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
         run, f"`{key}` {kind}, n long, packed binary, seen array<long>, times array<long>")
 
 
-def _planes(ids: bytes) -> bytes:
+def _planes(ids: np.ndarray) -> bytes:
     """The bytes of 32-bit ids by place, which pack better."""
-    return np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes()
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _from_planes(data: bytes) -> np.ndarray:
