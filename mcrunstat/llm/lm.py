@@ -26,7 +26,7 @@ from mcrunstat.llm.common import n_partitions, scratch, stored
 END, START = np.uint64(0x5EED0E0D0E0D0E0D), np.uint64(0x5EED57A457A457A4)
 HOT_CONTEXTS = 1024
 SPLIT = 64
-FLUSH = 1_500_000
+FLUSH = 600_000
 
 
 class _Sums:
