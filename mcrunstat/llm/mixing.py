@@ -102,8 +102,8 @@ def _augment(cap: dict, source: tuple, sink: tuple) -> None:
 
 def mix(docs: DataFrame, members: str, size: str, quotas: Callable[[dict], dict], carry: Iterable[str] = (),
         repeats: int = 2, seed: int = 7, max_patterns: int = 100_000) -> tuple[DataFrame, dict, dict]:
-    """Documents with ``taken`` (tokens the mix takes, repeats counted), the sizes of the
-    sources and the quotas.
+    """Documents with ``times`` (how often the mix takes them) and ``taken`` (tokens, repeats
+    counted), the sizes of the sources and the quotas.
 
     ``docs`` has an array column ``members`` (sources; null is a source of its own) and a
     long column ``size`` (null: 0); ``carry`` columns pass through.  ``quotas`` gets the
@@ -156,7 +156,7 @@ def mix(docs: DataFrame, members: str, size: str, quotas: Callable[[dict], dict]
     rest = dealt.filter(~at).withColumn("_more", inside.cast("long"))
     out = rest.unionByName(last).select(
         *[F.col(f"`{c}`") for c in carry], F.col("_members").alias("members"), "size",
-        ((F.col("_passes") + F.col("_more")) * F.col("size")).alias("taken"))
+        (F.col("_passes") + F.col("_more")).alias("times"), ((F.col("_passes") + F.col("_more")) * F.col("size")).alias("taken"))
     return out, dict(sizes), wanted
 
 
