@@ -65,6 +65,7 @@ def write(pages: DataFrame, folder: str, least: int = 100) -> None:
     first = (by_id.groupBy("digest").agg(F.sum("k").alias("copies"), F.min(F.struct(
         F.col("page_id").isNull().alias("none"), "page_id", "k")).alias("first")).filter("copies > 1")
         .select("digest", F.col("first.page_id").alias("first"), (F.col("first.k") > 1).alias("tied")))
+    first = stored(first, "warc-first")
 
     def build(it):
         for b in it:
@@ -83,9 +84,10 @@ def write(pages: DataFrame, folder: str, least: int = 100) -> None:
     joined = records.join(first, "digest", "left").withColumn(
         "least", F.col("page_id").eqNullSafe(F.col("first")) & F.col("tied").isNotNull())
     # rows that repeat a response's page_id: the first by url stays the response
-    tied = joined.filter(F.col("least") & F.col("tied")).withColumn("least", F.row_number().over(
-        Window.partitionBy("digest").orderBy("url")) == 1)
-    joined = joined.filter(~(F.col("least") & F.coalesce("tied", F.lit(False)))).unionByName(tied)
+    if not first.filter("tied").isEmpty():
+        tied = joined.filter(F.col("least") & F.col("tied")).withColumn("least", F.row_number().over(
+            Window.partitionBy("digest").orderBy("url")) == 1)
+        joined = joined.filter(~(F.col("least") & F.coalesce("tied", F.lit(False)))).unionByName(tied)
 
     def finish(it):
         for b in it:
