@@ -234,13 +234,14 @@ def _examples(sample: list[str], seed: int, generated: int) -> list[tuple[str, l
 
 
 def train(docs: DataFrame, max_docs: int = 300, generated: int = 500, seed: int = 11, rounds: int = 25) -> dict[str, float]:
-    """Weights from at most ``max_docs`` documents, those with a digit or an ``@`` and the
-    smallest hash of their text (only their first ``sample_chars`` characters travel to the
+    """Weights from at most ``max_docs`` distinct texts, those with a digit or an ``@`` and the
+    smallest hashes (only their first ``sample_chars`` characters travel to the
     driver), and ``generated`` made-up entities; the same input gives the same weights."""
     sample_chars = 4000
-    rows = (docs.select("text").filter(F.col("text").rlike("[0-9@]")).select(
-        F.xxhash64("text").alias("h"), F.substring("text", 1, sample_chars).alias("t"))
-        .orderBy("h", "t").limit(max_docs).collect())
+    able = docs.select("text", F.xxhash64("text").alias("h")).filter(F.col("text").rlike("[0-9@]"))
+    picked = [r.h for r in able.select("h").distinct().orderBy("h").limit(max_docs).collect()]
+    rows = (able.filter(F.col("h") <= picked[-1]).groupBy("h").agg(F.min(F.substring("text", 1, sample_chars)).alias("t"))
+            .orderBy("h").collect()) if picked else []
     examples = []
     for text, gold in _examples([r.t for r in rows], seed, generated):
         regions = _regions(text)
