@@ -92,8 +92,9 @@ class Vocabulary:
         edges = np.searchsorted(unique, self.bases)
         for s in range(len(self.bases) - 1):
             part = unique[edges[s]: edges[s + 1]]
-            if len(part):
-                out[edges[s]: edges[s + 1]] = ha.load(self.folder, field, s)[part - self.bases[s]]
+            held = ha.load(self.folder, field, s) if len(part) else None
+            if held is not None:  # a shard without a word in any pair has no such facts
+                out[edges[s]: edges[s + 1]] = held[part - self.bases[s]]
         return out[back]
 
 
