@@ -2,8 +2,7 @@
 
 Layout: ``sources`` (scans, catalog jobs, sinks, fixture views), ``functions``
 (Column expressions: bands, labels, predicates), ``operators`` (DataFrame ->
-DataFrame steps), ``plans`` (products and the registered queries), ``streaming``
-(nothing: the workload has no streams).
+DataFrame steps), ``plans`` (products and the registered queries).
 """
 
 __version__ = "0.1.0"

@@ -67,6 +67,7 @@ def op_tele_convertible() -> Column:
     return ~F.col("has_procedures")
 
 
+# The flag columns.
 AAE_FLAGS = (
     "is_discharged_no_treatment",
     "is_frequent_attender",

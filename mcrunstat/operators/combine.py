@@ -1,4 +1,4 @@
-"""J5 outer add and J6 attach-baseline."""
+"""J6 attach-baseline."""
 
 from __future__ import annotations
 
@@ -8,16 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def outer_add(a: DataFrame, b: DataFrame, keys: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
-    """Cells of ``a`` plus cells of ``b``; a side without the cell counts as 0.
-
-    A union and one grouped sum (one shuffle) instead of a full outer join.
-    """
-    keys = list(keys)
-    both = a.select(*keys, *value_cols).unionByName(b.select(*keys, *value_cols))
-    return both.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in value_cols])
-
-
 def attach_baseline(results: DataFrame, baseline_cells: DataFrame, keys: Sequence[str],
                     baseline_col: str = "baseline") -> DataFrame:
     """Full outer join of run summaries with baseline cell values; gaps -> 0."""

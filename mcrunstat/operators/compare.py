@@ -88,7 +88,10 @@ def compare_default(a: DataFrame, b: DataFrame, names: tuple[str, str],
         df = df.withColumn("pct_diff", baseline_vs_mean(F.col("baseline"), F.col("mean")))
         return df.select(*keys, *[F.col(c).alias(f"{c}_{name}") for c in df.columns if c not in keys])
 
-    j = side(a, names[0]).join(side(b, names[1]), keys, "inner")
+    left, right = side(a, names[0]), side(b, names[1])
+    # null keys are cells too (D22) and match null keys
+    same = [left[c].eqNullSafe(right[c]) for c in keys]
+    j = left.join(right, same, "inner").drop(*[right[c] for c in keys])
     return j.select(*sorted(j.columns))
 
 
@@ -130,6 +133,17 @@ def release_check(dev: DataFrame, release: DataFrame, keys: Sequence[str],
     return j.withColumn("all_equal", all_eq)
 
 
+def release_verdict(checked: DataFrame) -> DataFrame:
+    """Per value column, whether every row of a ``release_check`` agrees, and how many
+    do not."""
+    flags = [c for c in checked.columns if c.endswith("_equal")]
+    one = checked.agg(*[F.bool_and(F.col(c)).alias(c) for c in flags],
+                      *[F.count_if(~F.col(c)).alias(f"_n_{c}") for c in flags])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c.removesuffix("_equal")).alias("value"), F.col(c).alias("all_rows_equal"),
+                 F.col(f"_n_{c}").alias("rows_differing")) for c in flags])))
+
+
 def reconcile(detailed: DataFrame, default: DataFrame, measures: Sequence[str],
               rule: str = "trunc", tolerance: float = 1.0, value: str = "mean") -> DataFrame:
     """Totals of the detailed summaries against the aggregated results.

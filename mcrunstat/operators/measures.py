@@ -37,6 +37,26 @@ IP_MEASURES = ("admissions", "beddays", "procedures")
 OP_MEASURES = ("attendances", "tele_attendances")
 
 
+#: What identifies a baseline row; ``rn`` alone repeats across datasets and years.
+ROW_KEYS = ("dataset", "fyear", "rn")
+
+
+def row_keys(left: DataFrame, right: DataFrame) -> list[str]:
+    """The row keys that both tables carry; one-dataset, one-year tables may have only ``rn``."""
+    return [c for c in ROW_KEYS if c in left.columns and c in right.columns]
+
+
+def run_columns(runs: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns of a run table to join: its values and whichever row keys it carries."""
+    return [*[c for c in ROW_KEYS if c in runs.columns], *[c for c in columns if c not in ROW_KEYS]]
+
+
+def duplicate_rows(baseline: DataFrame) -> DataFrame:
+    """Row keys that occur more than once in a baseline, which would multiply every join."""
+    keys = row_keys(baseline, baseline)
+    return baseline.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+
+
 def _keys(run: str | None, cells: Sequence[str]) -> list[str]:
     return ([run] if run else []) + list(cells)
 
@@ -91,15 +111,15 @@ def ip_measures(df: DataFrame, los_band: Callable[[Column], Column] = los_detail
 
 def ip_run_rows(baseline: DataFrame, runs: DataFrame,
                 los_band: Callable[[Column], Column] = los_detailed) -> DataFrame:
-    """F14 + J1: baseline attributes joined to every run row on ``rn``.
+    """F14 + J1: baseline attributes joined to every run row on the row keys both carry.
 
     The run's own ``speldur``/``classpat`` win over the baseline's.  One join for all
-    runs: both sides are hash-partitioned on ``rn`` (AQE splits skewed keys).
+    runs: both sides are hash-partitioned on the keys (AQE splits skewed ones).
     """
     require_columns(baseline, [c for c in IP_BASELINE_COLUMNS], "ip baseline")
     require_columns(runs, IP_RUN_COLUMNS, "ip runs")
     joined = baseline.drop("speldur", "classpat").join(
-        runs.select(*IP_RUN_COLUMNS), "rn", "inner")
+        runs.select(*run_columns(runs, IP_RUN_COLUMNS)), row_keys(baseline, runs), "inner")
     return ip_measures(joined, los_band)
 
 
@@ -134,7 +154,8 @@ def op_baseline_prepared(baseline: DataFrame, age_groups=None) -> DataFrame:
 def op_run_rows(baseline: DataFrame, runs: DataFrame) -> DataFrame:
     """F14 + J1 for outpatients (run counts replace baseline counts)."""
     require_columns(runs, OP_RUN_COLUMNS, "op runs")
-    return baseline.drop(*OP_MEASURES).join(runs.select(*OP_RUN_COLUMNS), "rn", "inner")
+    return baseline.drop(*OP_MEASURES).join(
+        runs.select(*run_columns(runs, OP_RUN_COLUMNS)), row_keys(baseline, runs), "inner")
 
 
 def op_conversion_rows(conv: DataFrame, cells: Sequence[str], age_groups=None,
@@ -151,14 +172,15 @@ def op_cell_values(rows: DataFrame, cells: Sequence[str], run: str | None = "mod
     """A3 (+ J5): attendances and tele-attendances per cell, plus conversions.
 
     Conversion rows are appended before the single aggregation, so the outer add
-    of the two sources costs no extra shuffle.  Cells seen only in conversions
-    carry no tele-attendance row (the null sum is dropped after the unpivot).
+    of the two sources costs no extra shuffle.  A sum over nulls only is 0; cells seen
+    only in conversions carry no tele-attendance row.
     """
     keys = _keys(run, cells)
     rows = drop_null_keys(rows, cells).select(
-        *keys, *[F.col(m).cast("long").alias(m) for m in OP_MEASURES])
+        *keys, *[F.coalesce(F.col(m), F.lit(0)).cast("long").alias(m) for m in OP_MEASURES])
     if conversions is not None:
-        rows = rows.unionByName(conversions.select(*keys, *OP_MEASURES))
+        rows = rows.unionByName(conversions.select(
+            *keys, F.coalesce("attendances", F.lit(0)).cast("long").alias("attendances"), "tele_attendances"))
     totals = rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in OP_MEASURES])
     long = totals.unpivot(keys, list(OP_MEASURES), "measure", "value")
     return long.where(F.col("value").isNotNull())
@@ -172,7 +194,8 @@ def aae_baseline_prepared(baseline: DataFrame, age_groups=None) -> DataFrame:
 
 def aae_run_rows(baseline: DataFrame, runs: DataFrame) -> DataFrame:
     require_columns(runs, AAE_RUN_COLUMNS, "aae runs")
-    return baseline.drop("arrivals").join(runs.select(*AAE_RUN_COLUMNS), "rn", "inner")
+    return baseline.drop("arrivals").join(
+        runs.select(*run_columns(runs, AAE_RUN_COLUMNS)), row_keys(baseline, runs), "inner")
 
 
 def aae_conversion_rows(conv: DataFrame, cells: Sequence[str], age_groups=None,
@@ -195,9 +218,17 @@ def aae_cell_values(rows: DataFrame, cells: Sequence[str], run: str | None = "mo
     return rows.groupBy(*keys, "measure").agg(F.sum("arrivals").alias("value"))
 
 
-def run_row_counts(baseline: DataFrame, runs: DataFrame, run: str = "model_run") -> DataFrame:
-    """Every run must have exactly the baseline's row count (report, not raise)."""
+def run_row_counts(baseline: DataFrame, runs: DataFrame, run: str = "model_run",
+                   n_runs: int | None = None) -> DataFrame:
+    """Every run must have exactly the baseline's row count (report, not raise).
+
+    With ``n_runs`` the runs 1..n_runs are expected: one without any row is reported
+    with 0 rows, not left out.
+    """
     base = baseline.agg(F.count(F.lit(1)).alias("baseline_rows"))
     per_run = runs.groupBy(run).agg(F.count(F.lit(1)).alias("run_rows"))
+    if n_runs is not None:
+        expected = runs.sparkSession.range(1, n_runs + 1).select(F.col("id").cast(runs.schema[run].dataType).alias(run))
+        per_run = per_run.join(expected, run, "full").na.fill(0, subset=["run_rows"])
     return (per_run.withColumn("baseline_rows", base.scalar())
             .withColumn("ok", F.col("run_rows") == F.col("baseline_rows")))

@@ -118,17 +118,20 @@ def normal_ci(per_run: DataFrame, cells: Sequence[str], value_cols: Sequence[str
     """
     cells = list(cells)
     n = F.lit(float(n_runs)) if n_runs else _run_count(per_run, run).cast("double")
-    aggs = [F.count(F.lit(1)).alias("_k")]
+    aggs = []
     for v in value_cols:
-        aggs += [F.sum(F.col(v).cast("double")).alias(f"_s_{v}"), F.avg(v).alias(f"_m_{v}"),
+        # a null value (a run whose sum is null) counts as a missing run: as a zero
+        aggs += [F.count(v).alias(f"_k_{v}"), F.sum(F.col(v).cast("double")).alias(f"_s_{v}"), F.avg(v).alias(f"_m_{v}"),
                  F.var_pop(v).alias(f"_vp_{v}")]
     g = per_run.where(F.col(run).isNotNull()).groupBy(*cells).agg(*aggs).withColumn("_n", n)
-    k, nn = F.col("_k").cast("double"), F.col("_n")
+    nn = F.col("_n")
+    zero = F.lit(0.0)
     out = []
     for v in value_cols:
-        m_a = F.col(f"_m_{v}")
-        m2 = F.col(f"_vp_{v}") * k + m_a * m_a * k * (nn - k) / nn
-        mean = F.col(f"_s_{v}") / nn
+        k = F.col(f"_k_{v}").cast("double")
+        m_a = F.coalesce(F.col(f"_m_{v}"), zero)
+        m2 = F.coalesce(F.col(f"_vp_{v}"), zero) * k + m_a * m_a * k * (nn - k) / nn
+        mean = F.coalesce(F.col(f"_s_{v}"), zero) / nn
         sd = F.when(nn > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (nn - 1)))
         half = F.lit(z) * (sd / F.sqrt(nn))
         out += [mean.alias(f"mean_{v}"), sd.alias(f"std_{v}"), nn.cast("long").alias(f"n_{v}"),

@@ -12,6 +12,7 @@ from ..sources.fixtures import duckdb_with
 
 R = 6  # rounding places, as in plans.queries.ROUND
 
+# Band labels and cell keys.
 LOS_DETAILED_SQL = """case when {c} = 0 then '0 days' when {c} = 1 then '1 day'
   when {c} = 2 then '2 days' when {c} = 3 then '3 days'
   when {c} between 4 and 7 then '4-7 days' when {c} between 8 and 14 then '8-14 days'
@@ -276,10 +277,10 @@ from (
 # --------------------------------------------------------------- national
 def national_sample_cte(fraction: float, seed: int) -> str:
     keep = "" if fraction >= 1 else (
-        f"where ('0x' || substr(md5('{seed}:' || cast(rn as varchar)), 1, 8))::bigint % 10000"
-        f" < {int(round(10000 * fraction))}")
+        f"where ('0x' || substr(md5('{seed}:' || cast(rn as varchar)), 1, 15))::bigint"
+        f" < {int(fraction * 2**60)}")
     return f"""
-smp AS (select rn, fyear, 'NATIONAL' as dataset, 'NATIONAL' as sitetret, age, pod, grp, sushrg,
+smp AS (select rn, fyear, dataset as source, 'NATIONAL' as dataset, 'NATIONAL' as sitetret, age, pod, grp, sushrg,
                speldur, classpat from ip_baseline {keep})"""
 
 
@@ -296,7 +297,7 @@ def national_stats_sql(per_run_cte: str) -> str:
     k = ", ".join(NAT_CELLS)
     on = " and ".join(f"c.{x} is not distinct from p.{x}" for x in NAT_CELLS)
     return f"""WITH {per_run_cte},
-runs AS (select distinct model_run from pr),
+runs AS (select cast(range + 1 as int) as model_run from range(256)),
 cells AS (select distinct {k} from pr),
 filled AS (
   select r.model_run, {", ".join('c.' + x for x in NAT_CELLS)},
@@ -382,13 +383,12 @@ def oracle_sql() -> dict[str, str]:
         speldur, classpat from ip_baseline"""
     q["scan_runs"] = "select rn, model_run, speldur, classpat from ip_runs"
     q["list_datasets"] = "select distinct fyear, dataset from ip_baseline"
-    q["resolve_version"] = """
+    q["resolve_version"] = r"""
 WITH v AS (
-  select version,
-         cast(regexp_extract(version, '^v?(\\d+)\\.(\\d+)\\.(\\d+)$', 1) as int) as major,
-         cast(regexp_extract(version, '^v?(\\d+)\\.(\\d+)\\.(\\d+)$', 2) as int) as minor,
-         cast(regexp_extract(version, '^v?(\\d+)\\.(\\d+)\\.(\\d+)$', 3) as int) as patch
-  from data_versions where regexp_matches(version, '^v?(\\d+)\\.(\\d+)\\.(\\d+)$')
+  select version, cast(regexp_extract(version, '^v?(\d+)\.(\d+)\.(\d+)', 1) as int) as major,
+         cast(regexp_extract(version, '^v?(\d+)\.(\d+)\.(\d+)', 2) as int) as minor,
+         cast(regexp_extract(version, '^v?(\d+)\.(\d+)\.(\d+)', 3) as int) as patch
+  from data_versions where regexp_matches(version, '^v?(\d+)\.(\d+)\.(\d+)([-.+]?[A-Za-z][0-9A-Za-z.-]*)?$')
 ),
 req AS (
   select distinct case when version = 'dev' then version
@@ -397,9 +397,8 @@ req AS (
   from data_versions
 ),
 rp AS (
-  select requested,
-         cast(nullif(regexp_extract(requested, '^v?(\\d+)\\.(\\d+)', 1), '') as int) as major,
-         cast(nullif(regexp_extract(requested, '^v?(\\d+)\\.(\\d+)', 2), '') as int) as minor
+  select requested, cast(nullif(regexp_extract(requested, '^v?(\d+)(\.(\d+))?', 1), '') as int) as major,
+         coalesce(cast(nullif(regexp_extract(requested, '^v?(\d+)(\.(\d+))?', 3), '') as int), 1000000) as minor
   from req
 )
 select requested,
@@ -433,13 +432,18 @@ WITH p AS (
          cast(json_extract(json, '$.start_year') as int) as start_year,
          json_extract_string(json, '$.create_datetime') as create_datetime,
          cast(json_extract(json, '$.seed') as bigint) as seed,
-         json_extract(json, '$."non-demographic_adjustment"') as ndg
+         json_extract_string(json, '$.extra') as extra,
+         coalesce(json_extract_string(json, '$."non-demographic_adjustment".variant'), 'ndg-test') as variant,
+         coalesce(json_extract_string(json, '$."non-demographic_adjustment"."value-type"'),
+                  'year-on-year-growth') as value_type,
+         coalesce(json_extract(json, '$."non-demographic_adjustment".values'),
+                  json_extract(json, '$."non-demographic_adjustment"')) as ndg
   from params_json
 ),
 k AS (select p.*, unnest(json_keys(ndg)) as ndg_key from p),
 v AS (select k.*, cast(json_extract(ndg, '$."' || ndg_key || '"') as double[]) as vals from k)
-select scenario, dataset, app_version, start_year, create_datetime, seed,
-       'ndg-test' as ndg_variant, 'year-on-year-growth' as ndg_value_type, ndg_key,
+select scenario, dataset, app_version, start_year, create_datetime, seed, extra,
+       variant as ndg_variant, value_type as ndg_value_type, ndg_key,
        cast(i - 1 as int) as ndg_pos, vals[i] as ndg_value
 from v, range(1, len(vals) + 1) t(i)"""
 
@@ -464,9 +468,16 @@ from ip_baseline"""
     q["detailed_aae_standard"] = detailed_aae_sql(AAE_STD, hrg=False)
     q["detailed_aae_hrg"] = detailed_aae_sql(AAE_HRG, hrg=True)
     q["run_row_counts"] = """
-select model_run, count(*) as run_rows, (select count(*) from op_baseline) as baseline_rows,
-       count(*) = (select count(*) from op_baseline) as ok
-from op_runs group by model_run"""
+WITH r AS (select * from op_runs where model_run <> 3 and (model_run <> 5 or rn % 2 = 0)),
+e AS (select cast(range + 1 as int) as model_run from range(16))
+select e.model_run, count(r.rn) as run_rows, (select count(*) from op_baseline) as baseline_rows,
+       count(r.rn) = (select count(*) from op_baseline) as ok
+from e left join r on e.model_run = r.model_run group by e.model_run"""
+    q["run_row_counts_aae"] = """
+WITH e AS (select cast(range + 1 as int) as model_run from range(16))
+select e.model_run, count(r.rn) as run_rows, (select count(*) from aae_baseline) as baseline_rows,
+       count(r.rn) = (select count(*) from aae_baseline) as ok
+from e left join (select * from aae_runs where model_run <> 2) r on e.model_run = r.model_run group by e.model_run"""
     av = ["pod", "los_group", "sushrg"]
     q["activity_avoided"] = ("WITH " + ip_per_run_ctes(av, False, runs="ip_avoided", los=LOS_AVOIDED_SQL,
                                                        positive=False) + ","
@@ -564,7 +575,9 @@ WITH cells AS (select {", ".join(sk)}, count(rn) as value from ip_baseline
                where {notnull(sk)} group by all)""" + suppress_sql("cells", sk, ["dataset", "pod"])
 
     # ----------------------------------------------------------- national
-    q["national_baseline"] = "WITH " + national_sample_cte(0.01, 7) + f"""
+    q["sample_rows"] = "WITH " + national_sample_cte(0.01, 7) + """
+select rn, source as dataset, fyear from smp"""
+    q["national_baseline"] = "WITH " + national_sample_cte(1.0, 7) + f"""
 select {f(LOS_NATIONAL_SQL, 'speldur')} as los_group, pod, sushrg,
        cast(sum(speldur + 1) as bigint) as beddays, count(*) as admissions
 from smp group by all"""
@@ -581,8 +594,8 @@ left join pr p on p.model_run = r.model_run and c.los_group is not distinct from
     nat = national_stats_sql(national_per_run_cte())
     q["national_reconcile"] = f"""
 WITH nat AS ({nat.replace(f'round(', '(').replace(f', {R})', ')')}),""" + a6("default_old", "d6") + """,
-det AS (select 'admissions' as measure, sum(mean_admissions) as detailed from nat
-        union all select 'beddays', sum(mean_beddays) from nat),
+det AS (select 'admissions' as measure, sum(mean_admissions) as detailed from nat where starts_with(pod, 'ip_')
+        union all select 'beddays', sum(mean_beddays) from nat where starts_with(pod, 'ip_')),
 dft AS (select measure, sum(mean) as "default" from d6
         where starts_with(pod, 'ip_') and measure in ('admissions', 'beddays') group by all),
 j AS (select coalesce(a.measure, b.measure) as measure, coalesce(a."default", 0) as "default",
@@ -665,8 +678,8 @@ select o.dataset, o.pod, o.sitetret, o.measure,
        round({pct('o.mean', 'o.baseline', '1', 4)}, {R}) as pct_diff_scn,
        round(n.baseline, {R}) as baseline_scn_testdev, round(n.mean, {R}) as mean_scn_testdev,
        round({pct('n.mean', 'n.baseline', '1', 4)}, {R}) as pct_diff_scn_testdev
-from o6 o join n6 n on o.dataset = n.dataset and o.pod = n.pod and o.sitetret = n.sitetret
-  and o.measure = n.measure"""
+from o6 o join n6 n on o.dataset is not distinct from n.dataset and o.pod is not distinct from n.pod
+  and o.sitetret is not distinct from n.sitetret and o.measure is not distinct from n.measure"""
     q["compare_default_rowwise"] = "WITH " + a6("default_old", "o6") + f""",
 w AS (select dataset, pod, sitetret, measure, baseline,
              lag(baseline) over (partition by dataset order by pod, sitetret, measure) as prev from o6)
@@ -698,6 +711,29 @@ from d full join r on {on}"""
         ("tele_attendances", "cast(sum(tele_attendances) as bigint)")])
     q["release_check_aae"] = release("aae_baseline", "aae_baseline_release", ["dataset", "pod", "grp"], [
         ("arrivals", "cast(sum(arrivals) as bigint)")])
+    def release_of(dev: str, rel: str, keys: list[str], cols: list[str]) -> str:
+        on = " and ".join(f"d.{c} = r.{c}" for c in keys)
+        sel = ", ".join(f"coalesce(d.{c}, 0) as dev_{c}, coalesce(r.{c}, 0) as release_{c}, "
+                        f"coalesce(d.{c}, 0) = coalesce(r.{c}, 0) as {c}_equal" for c in cols)
+        both = " and ".join(f"coalesce(d.{c}, 0) = coalesce(r.{c}, 0)" for c in cols)
+        return (f"WITH d AS ({dev}), r AS ({rel}) select {', '.join(f'coalesce(d.{c}, r.{c}) as {c}' for c in keys)}, "
+                f"{sel}, {both} as all_equal from d full join r on {on}")
+
+    names = ["gp_referred", "consultant_to_consultant_referrals", "followup_reduction"]
+    q["release_check_op_mitigators"] = release_of(
+        q["mitigators_op"], q["mitigators_op"].replace("op_baseline", "op_baseline_release"), ["dataset", "type"],
+        ["convert_to_tele_attendances", *[f"{n}_{m}" for n in names for m in ("attendances", "tele_attendances")]])
+    q["release_check_aae_mitigators"] = release_of(
+        q["mitigators_aae"], q["mitigators_aae"].replace("aae_baseline", "aae_baseline_release"), ["dataset", "hsagrp"],
+        ["is_discharged_no_treatment", "is_frequent_attender", "is_left_before_treatment",
+         "is_low_cost_referred_or_discharged"])
+    verdicts = []
+    for kind, values in (("ip", ["admissions", "beddays"]), ("op", ["attendances", "tele_attendances"]), ("aae", ["arrivals"])):
+        for v in [*values, "all"]:
+            verdicts.append(f"select '{v}' as value, bool_and({v}_equal) as all_rows_equal, "
+                            f"count(*) filter (where not {v}_equal) as rows_differing, '{kind}' as activity from c_{kind}")
+    q["release_verdict"] = "WITH " + ", ".join(f"c_{k} AS ({q[f'release_check_{k}']})" for k in ("ip", "op", "aae")) + (
+        " " + " union all ".join(verdicts))
     q["release_check_mitigators"] = f"""
 WITH d AS (select kind, strategy, count(rn) as cnt, sum(sample_rate) as sr from strategies group by all),
 r AS (select kind, strategy, count(rn) as cnt, sum(sample_rate) as sr from strategies_release group by all)

@@ -1,6 +1,6 @@
 """Products: end-to-end compositions of the operators.
 
-Each returns one lazy DataFrame.  Hospital-specific names live here and in
+Each returns one lazy DataFrame (``national_filled`` writes its reduced input once).  Hospital-specific names live here and in
 ``schema.AggConfig``; the operators only take column names and parameters.
 """
 
@@ -105,6 +105,7 @@ def attach_baseline_aae(baseline, runs, conversions, config: AggConfig = HRG,
 
 
 # ------------------------------------------------------------------ P6
+# The keys of the custom, avoided and national layouts.
 CUSTOM_IP_KEYS = ("sitetret", "custom_age_groups", "custom_los_groups", "tretspef", "pod",
                   "maternity_delivery_in_spell")
 CUSTOM_OP_KEYS = ("sitetret", "custom_age_groups", "tretspef", "pod")
@@ -163,16 +164,20 @@ NATIONAL_CELLS = ("los_group", "pod", "sushrg")
 
 def hash_sample(df: DataFrame, fraction: float, seed: int, key: str = "rn") -> DataFrame:
     """Deterministic sample by a hash of (seed, key): the same rows whatever
-    the partitioning, on any engine."""
-    if fraction >= 1:
+    the partitioning, on any engine.  The hash is compared at 60 bits, so any fraction
+    in (0, 1] keeps its share; others raise."""
+    if not 0 < fraction <= 1:
+        raise ValueError(f"fraction {fraction} is not in (0, 1]")
+    if fraction == 1:
         return df
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10)
-    return df.where(h.cast("long") % 10000 < int(round(10000 * fraction)))
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 15), 16, 10)
+    return df.where(h.cast("long") < int(fraction * 2**60))
 
 
-def national_sample(baseline: DataFrame, fraction: float = 0.01, seed: int = 0,
+def national_sample(baseline: DataFrame, fraction: float = 1.0, seed: int = 0,
                     fyear: int | None = None) -> DataFrame:
-    """F16 + F13 + F17: one year, every dataset relabelled ``NATIONAL``, sampled."""
+    """F16 + F13 (+ F17): one year, every dataset relabelled ``NATIONAL``; the whole table
+    unless a smaller fraction is asked for."""
     df = baseline if fyear is None else baseline.where(F.col("fyear") == fyear)
     df = df.withColumns({"dataset": F.lit(NATIONAL), "sitetret": F.lit(NATIONAL)})
     return hash_sample(df, fraction, seed)
@@ -188,6 +193,7 @@ def national_baseline(sample: DataFrame) -> DataFrame:
 def national_per_run(sample: DataFrame, runs: DataFrame) -> DataFrame:
     """J2 + A9: baseline left-joined to runs; rows without a run are dropped (D3)."""
     apc = sample.drop("speldur", "classpat")
+    # ``dataset`` is relabelled here, so the keys of the join are those of the source rows
     j = apc.join(runs.select("rn", "model_run", "speldur", "classpat"), "rn", "left")
     j = j.where(F.col("model_run").isNotNull())
     j = j.withColumns({"los_group": los_national("speldur"), "beddays": F.col("speldur") + 1})
@@ -205,26 +211,27 @@ def national_avoided_per_run(sample: DataFrame, avoided: DataFrame) -> DataFrame
         F.sum("beddays").cast("long").alias("beddays"), F.count(F.lit(1)).alias("admissions"))
 
 
-def _national_stats(per_run: DataFrame) -> DataFrame:
-    out = normal_ci(per_run, list(NATIONAL_CELLS), ["beddays", "admissions"])
+def _national_stats(per_run: DataFrame, n_runs: int) -> DataFrame:
+    out = normal_ci(per_run, list(NATIONAL_CELLS), ["beddays", "admissions"], n_runs=n_runs)
     return out.drop("n_beddays", "n_admissions")
 
 
-def national_results(sample: DataFrame, runs: DataFrame) -> DataFrame:
+def national_results(sample: DataFrame, runs: DataFrame, n_runs: int = N_RUNS) -> DataFrame:
     """P8 results: A10 + A11 with the zero runs folded in analytically.
 
-    The per-run table (runs x cells, already reduced) is materialised once: it
-    feeds both the run count and the per-cell moments.
+    The number of runs is known, so the per-run table has one consumer and the product
+    is one lazy plan.
     """
-    return _national_stats(materialize(national_per_run(sample, runs)))
+    return _national_stats(national_per_run(sample, runs), n_runs)
 
 
-def national_avoided(sample: DataFrame, avoided: DataFrame) -> DataFrame:
-    return _national_stats(materialize(national_avoided_per_run(sample, avoided)))
+def national_avoided(sample: DataFrame, avoided: DataFrame, n_runs: int = N_RUNS) -> DataFrame:
+    return _national_stats(national_avoided_per_run(sample, avoided), n_runs)
 
 
 def national_filled(sample: DataFrame, runs: DataFrame) -> DataFrame:
-    """A10 materialised: every (run, national cell) pair, zeros where absent."""
+    """A10 materialised: every (run, national cell) pair, zeros where absent.  The reduced
+    per-run table feeds two consumers, so it is written once when this is called."""
     return fill_missing_groups(materialize(national_per_run(sample, runs)), list(NATIONAL_CELLS),
                                ["beddays", "admissions"])
 

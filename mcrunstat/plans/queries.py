@@ -32,7 +32,7 @@ from . import products as P
 ROUND = 6
 N_OTHER = 16          # runs in the op/aae fixtures
 NATIONAL_SEED = 7
-NATIONAL_FRACTION = 0.01
+SAMPLE_FRACTION = 0.01
 SITES_ARG = "s00,S03"  # F1 argument as a user types it
 SCENARIO_PREFIX = "full-model-results/v4.1/D0/scn-ip_elective_admission/20250101_100000"
 
@@ -98,7 +98,7 @@ def q_params_catalog(spark, sf):
     p = G.upgrade_ndg(G.parse_params(_fx(spark, sf)["params_json"]))
     ndg = F.col("`non-demographic_adjustment`")
     flat = p.select("scenario", "dataset", "app_version", "start_year", "create_datetime", "seed",
-                    ndg["variant"].alias("ndg_variant"), ndg["value-type"].alias("ndg_value_type"),
+                    F.get_json_object("document", "$.extra").alias("extra"), ndg["variant"].alias("ndg_variant"), ndg["value-type"].alias("ndg_value_type"),
                     F.explode(ndg["values"]).alias("ndg_key", "_vals"))
     return flat.select("*", F.posexplode("_vals").alias("ndg_pos", "ndg_value")).drop("_vals")
 
@@ -176,7 +176,15 @@ REGISTRY["detailed_aae_hrg"] = _detailed_aae(HRG)
 @query("run_row_counts")
 def q_run_row_counts(spark, sf):
     fx = _fx(spark, sf)
-    return M.run_row_counts(fx["op_baseline"], fx["op_runs"])
+    # a short run and a missing one, besides the complete ones
+    runs = fx["op_runs"].where((F.col("model_run") != 3) & ((F.col("model_run") != 5) | (F.col("rn") % 2 == 0)))
+    return M.run_row_counts(fx["op_baseline"], runs, n_runs=N_OTHER)
+
+
+@query("run_row_counts_aae")
+def q_run_row_counts_aae(spark, sf):
+    fx = _fx(spark, sf)
+    return M.run_row_counts(fx["aae_baseline"], fx["aae_runs"].where(F.col("model_run") != 2), n_runs=N_OTHER)
 
 
 @query("activity_avoided")
@@ -278,7 +286,13 @@ def _sample(fx, fraction):
 
 @query("national_baseline")
 def q_national_baseline(spark, sf):
-    return P.national_baseline(_sample(_fx(spark, sf), NATIONAL_FRACTION))
+    return P.national_baseline(_sample(_fx(spark, sf), 1.0))
+
+
+@query("sample_rows")
+def q_sample_rows(spark, sf):
+    """the seeded sample itself; sampling is the feature here."""
+    return P.hash_sample(_fx(spark, sf)["ip_baseline"], SAMPLE_FRACTION, NATIONAL_SEED).select("rn", "dataset", "fyear")
 
 
 @query("national_results")
@@ -302,7 +316,7 @@ def q_fill_missing(spark, sf):
 @query("national_reconcile")
 def q_national_reconcile(spark, sf):
     fx = _fx(spark, sf)
-    nat = P.national_results(_sample(fx, 1.0), fx["ip_runs"])
+    nat = P.national_results(_sample(fx, 1.0), fx["ip_runs"]).where(F.col("pod").startswith("ip_"))
     nat_long = nat.select(F.lit("admissions").alias("measure"), F.col("mean_admissions").alias("mean")) \
         .unionByName(nat.select(F.lit("beddays").alias("measure"), F.col("mean_beddays").alias("mean")))
     dft = collect_runs(fx["default_old"]).where(F.col("pod").startswith("ip_"))
@@ -392,6 +406,28 @@ REGISTRY["release_check_op"] = _release("op")
 REGISTRY["release_check_aae"] = _release("aae")
 
 
+def _release_mitigators(mitigators, view, keys):
+    def q(spark, sf):
+        fx = _fx(spark, sf)
+        dev, rel = mitigators(fx[view], keys), mitigators(fx[f"{view}_release"], keys)
+        return K.release_check(dev, rel, list(keys), [c for c in dev.columns if c not in keys])
+    return q
+
+
+REGISTRY["release_check_op_mitigators"] = _release_mitigators(C.op_mitigators, "op_baseline", ("dataset", "type"))
+REGISTRY["release_check_aae_mitigators"] = _release_mitigators(C.aae_mitigators, "aae_baseline", ("dataset", "hsagrp"))
+
+
+@query("release_verdict")
+def q_release_verdict(spark, sf):
+    """One verdict per value column over all rows of the three checks."""
+    out = None
+    for kind in ("ip", "op", "aae"):
+        v = K.release_verdict(_release(kind)(spark, sf)).withColumn("activity", F.lit(kind))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
 @query("release_check_mitigators")
 def q_release_mit(spark, sf):
     fx = _fx(spark, sf)

@@ -31,7 +31,6 @@ OP_RUN_COLUMNS = ("rn", "model_run", "attendances", "tele_attendances")
 AAE_BASELINE_COLUMNS = ("rn", "sitetret", "age", "pod", "attendance_category", "aedepttype",
                         "is_ambulance", "arrivals")
 AAE_RUN_COLUMNS = ("rn", "model_run", "arrivals")
-RESULTS_COLUMNS = ("model_run", "value")
 
 
 @dataclass(frozen=True)
@@ -63,4 +62,3 @@ HRG = AggConfig(
     aae_cols=("sitetret", "pod", "age_group", "attendance_category", "aedepttype"),
     age_groups=lambda age: age_cut(age),
 )
-CONFIGS = {"standard": STANDARD, "hrg": HRG}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 AGG_ROOT = "aggregated-model-results"
 FULL_ROOT = "full-model-results"
 PATH_DEPTH = 5
-VERSION_RE = r"^v?(\d+)\.(\d+)\.(\d+)$"
-REQUEST_RE = r"^v?(\d+)\.(\d+)"
+VERSION_RE = r"^v?(\d+)\.(\d+)\.(\d+)(?:[-.+]?[A-Za-z][0-9A-Za-z.-]*)?$"
+REQUEST_RE = r"^v?(\d+)(?:\.(\d+))?"
 DATETIME_RE = r"^\d{8}_\d{6}$"
 NOT_FOUND = "N/A"
 NDG_VARIANT = "ndg-test"
@@ -48,27 +48,24 @@ def resolve_versions(versions: DataFrame, requests: DataFrame, col: str = "versi
     minor, else ``N/A`` (D19: unparsable requests such as ``dev`` give ``N/A``).
 
     Both rules reduce to "the greatest version whose (major, minor) is at most the
-    request's", an as-of lookup.  Requests and versions are merged in one ordered
-    pass and each request takes the last version seen before it; the catalog is
-    one row per published version, so this window is small by construction.
+    request's".  Versions are first reduced to the newest patch of each minor; each
+    distinct request then takes the greatest of the minors of its own major, or the
+    greatest of the majors below, so requests are never gathered in one task.
     """
-    v = parse_versions(versions, col).where(F.col("major").isNotNull()).select(
-        F.lit(None).cast("string").alias("requested"), "version", "major", "minor", "patch",
-        F.lit(0).alias("_is_req"))
+    v = parse_versions(versions, col).where(F.col("major").isNotNull())
+    minors = v.groupBy("major", "minor").agg(F.max_by("version", "patch").alias("version"))
+    majors = minors.groupBy("major").agg(F.max_by("version", "minor").alias("version"))
+    below = majors.agg(F.array_sort(F.collect_list(F.struct("major", "version")))).scalar()  # one entry a major
     r_col = F.col(request_col)
-    r = requests.select(r_col.alias("requested"), F.lit(None).cast("string").alias("version"),
-                        _parse(r_col, REQUEST_RE, 1).alias("major"),
-                        _parse(r_col, REQUEST_RE, 2).alias("minor"),
-                        F.lit(None).cast("int").alias("patch"), F.lit(1).alias("_is_req"))
-    both = v.unionByName(r)
-    w = (Window.orderBy(F.col("major").asc_nulls_first(), F.col("minor").asc_nulls_first(),
-                        "_is_req", F.col("patch").asc_nulls_first())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = both.withColumn("_found", F.last("version", ignorenulls=True).over(w))
-    out = found.where(F.col("_is_req") == 1).select(
-        "requested",
-        F.when(F.col("major").isNull(), F.lit(NOT_FOUND))
-        .otherwise(F.coalesce(F.col("_found"), F.lit(NOT_FOUND))).alias("resolved"))
+    r = requests.select(r_col.alias("requested"), _parse(r_col, REQUEST_RE, 1).alias("_major"),
+                        F.coalesce(_parse(r_col, REQUEST_RE, 2), F.lit(2**31 - 1)).alias("_minor"))
+    own = r.distinct().join(minors, (F.col("_major") == F.col("major")) & (F.col("minor") <= F.col("_minor")))
+    own = own.groupBy(F.col("requested").alias("_own")).agg(F.max_by("version", "minor").alias("_found"))
+    out = r.join(own, r["requested"].eqNullSafe(own["_own"]), "left").withColumn("_majors", below)
+    older = F.filter("_majors", lambda x: x["major"] < F.col("_major"))
+    out = out.select(
+        "requested", F.when(F.col("_major").isNull(), F.lit(NOT_FOUND))
+        .otherwise(F.coalesce("_found", F.try_element_at(older, F.lit(-1))["version"], F.lit(NOT_FOUND))).alias("resolved"))
     return out.withColumn("simplified", simplify_version(F.col("requested")))
 
 
@@ -145,7 +142,10 @@ def run_completeness(listing: DataFrame, col: str = "path", n_runs: int | None =
 
 
 # S6/S16 parameters
+NDG = "non-demographic_adjustment"
 NDG_TYPE = T.MapType(T.StringType(), T.ArrayType(T.DoubleType()))
+NDG_STRUCT = T.StructType([T.StructField("variant", T.StringType()), T.StructField("value-type", T.StringType()),
+                           T.StructField("values", NDG_TYPE)])
 PARAMS_SCHEMA = T.StructType([
     T.StructField("scenario", T.StringType()),
     T.StructField("dataset", T.StringType()),
@@ -155,23 +155,27 @@ PARAMS_SCHEMA = T.StructType([
     T.StructField("seed", T.LongType()),
     T.StructField("user", T.StringType()),
     T.StructField("viewable", T.BooleanType()),
-    T.StructField("non-demographic_adjustment", NDG_TYPE),
+    T.StructField(NDG, T.StringType()),  # its text: the form differs between versions
 ])
 
 
 def read_params(spark, paths) -> DataFrame:
     """Every run's ``params.json`` in one read (one document per file)."""
-    return spark.read.schema(PARAMS_SCHEMA).option("multiLine", True).json(paths)
+    return parse_params(spark.read.text(paths, wholetext=True), "value")
 
 
 def parse_params(docs: DataFrame, col: str = "json") -> DataFrame:
-    """S6 over a column of JSON text."""
-    return docs.select(F.from_json(F.col(col), PARAMS_SCHEMA).alias("p")).select("p.*")
+    """S6 over a column of JSON text: the usual fields as columns, the growth map as its
+    text, and the whole document as ``document``, so no other parameter is lost."""
+    return docs.select(F.from_json(F.col(col), PARAMS_SCHEMA).alias("p"), F.col(col).alias("document")).select(
+        "p.*", "document")
 
 
 def upgrade_ndg(params: DataFrame) -> DataFrame:
-    """Old growth map -> ``{variant, value-type, values}`` struct."""
-    ndg = "non-demographic_adjustment"
-    return params.withColumn(ndg, F.struct(
-        F.lit(NDG_VARIANT).alias("variant"), F.lit(NDG_VALUE_TYPE).alias("value-type"),
-        F.col(f"`{ndg}`").alias("values")))
+    """Old growth map -> ``{variant, value-type, values}`` struct; a document that has
+    the struct already keeps it."""
+    text = F.col(f"`{NDG}`")
+    old = F.struct(F.lit(NDG_VARIANT).alias("variant"), F.lit(NDG_VALUE_TYPE).alias("value-type"),
+                   F.from_json(text, NDG_TYPE).alias("values"))
+    return params.withColumn(NDG, F.when(F.get_json_object(text, "$.variant").isNotNull(), F.from_json(text, NDG_STRUCT))
+                             .otherwise(old.cast(NDG_STRUCT)))

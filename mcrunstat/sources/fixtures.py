@@ -158,7 +158,8 @@ from {lineitem} where l_returnflag <> 'N'""",
     "data_versions": """
 select concat('v', cast(n_regionkey + 1 as string), '.',
               cast(n_nationkey % 13 as string), '.', cast(n_nationkey % 4 as string)) as version
-from {nation} union all select 'dev' union all select 'v3.1' union all select 'vnext.0.1'""",
+from {nation} union all select 'dev' union all select 'v3.1' union all select 'vnext.0.1'
+union all select 'v6.0.1-rc1' union all select 'v9'""",
     "file_paths": """
 select concat('full-model-results/v4.1/', dataset, '/scn-', pod, '/20250101_100000/ip/model_run=',
               cast(model_run as string),
@@ -186,8 +187,12 @@ select concat('{{"scenario": "scn-', lower(n_name), '", "dataset": "D', cast(n_r
               '", "start_year": ', cast(2020 + n_nationkey % 5 as string),
               ', "create_datetime": "20250101_1', lpad(cast(n_nationkey as string), 5, '0'),
               '", "seed": ', cast(n_nationkey * 7 as string),
-              ', "non-demographic_adjustment": {{"elective": [1.0', cast(n_nationkey % 10 as string),
-              ', 1.02], "maternity": [1.01, 1.0', cast(n_regionkey as string), ']}}}}') as json
+              ', "extra": "x', cast(n_nationkey as string), '", "non-demographic_adjustment": ',
+              case when n_nationkey % 4 = 1
+                   then '{{"variant": "own", "value-type": "other", "values": ' else '' end,
+              '{{"elective": [1.0', cast(n_nationkey % 10 as string),
+              ', 1.02], "maternity": [1.01, 1.0', cast(n_regionkey as string), ']}}',
+              case when n_nationkey % 4 = 1 then '}}' else '' end, '}}') as json
 from {nation}""",
 }
 

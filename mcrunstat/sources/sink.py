@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
 
+FORMATS = ("parquet", "csv")
+
+
 def _hadoop_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -17,39 +20,58 @@ def _hadoop_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def outputs_exist(spark: SparkSession, base: str) -> bool:
-    """Both formats written completely (``_SUCCESS`` in each)."""
-    return all(_hadoop_exists(spark, f"{base}.{fmt}/_SUCCESS") for fmt in ("parquet", "csv"))
+def _complete(spark: SparkSession, path: str) -> bool:
+    return _hadoop_exists(spark, f"{path}/_SUCCESS")
 
 
-def write_results(df: DataFrame, base: str, sort_by: Sequence[str] | None = None,
-                  skip_existing: bool = True) -> bool:
-    """S17/S18 + O1: write ``{base}.parquet`` and ``{base}.csv`` (header), sorted by
-    the cell keys only here, at the sink.  Returns False when skipped (S19).
+def outputs_exist(spark: SparkSession, base: str, formats: Sequence[str] = FORMATS) -> bool:
+    """All formats written completely (``_SUCCESS`` in each)."""
+    return all(_complete(spark, f"{base}.{f}") for f in formats)
+
 
-    The plan is checkpointed once to the shared checkpoint folder so the two
-    writes do not recompute it, and a lost executor replays from the checkpoint.
+def write_results(df: DataFrame, base: str, sort_by: Sequence[str] | None = None,
+                  skip_existing: bool = True, formats: Sequence[str] = FORMATS,
+                  descending: Sequence[str] = ()) -> bool:
+    """S17/S18 + O1/O2: write ``{base}.{format}`` for each format (CSV with a header),
+    sorted only here, at the sink, by ``sort_by`` (those in ``descending`` from the
+    largest).  Returns False when all were complete already (S19).
+
+    A format is skipped only if its folder holds ``_SUCCESS``; a folder left by a write
+    that did not end is written anew.  With two formats to write, the plan is checkpointed
+    once to the shared folder, so the second write does not compute it again.
     """
     spark = df.sparkSession
-    if skip_existing and outputs_exist(spark, base):
+    todo = [f for f in formats if not (skip_existing and _complete(spark, f"{base}.{f}"))]
+    if not todo:
         return False
-    ensure_checkpoint_dir(spark)
-    out = df.checkpoint(eager=True)
+    if len(todo) > 1:
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
     if sort_by:
-        out = out.orderBy(*sort_by)
-    mode = "ignore" if skip_existing else "overwrite"
-    out.write.mode(mode).parquet(f"{base}.parquet")
-    out.write.mode(mode).option("header", True).csv(f"{base}.csv")
+        df = df.orderBy(*[F.col(c).desc() if c in descending else F.col(c).asc() for c in sort_by])
+    for f in todo:
+        df.write.mode("overwrite").format(f).options(**({"header": True} if f == "csv" else {})).save(f"{base}.{f}")
     return True
 
 
-def output_base(spark: SparkSession, scenario: str, product: str, activity: str,
-                agg_type: str, root: str | None = None) -> str:
-    """The aggregation type is part of the output name."""
-    root = root or os.path.join(ensure_checkpoint_dir(spark), "outputs")
+def output_base(root: str, scenario: str, product: str, activity: str, agg_type: str) -> str:
+    """The aggregation type is part of the output name; ``root`` is the caller's, never
+    the checkpoint folder."""
     return f"{root.rstrip('/')}/{scenario}_{product}_{activity}_{agg_type}"
 
 
+def write_activities(products: dict[str, DataFrame], root: str, scenario: str, product: str, agg_type: str,
+                     activities: Sequence[str] = ("ip", "op", "aae"), formats: Sequence[str] = FORMATS,
+                     sort_by: dict[str, Sequence[str]] | None = None) -> dict[str, bool]:
+    """Write the chosen activities' products, each skipped on its own when complete;
+    says per activity whether it was written."""
+    unknown = [a for a in activities if a not in products]
+    if unknown:
+        raise ValueError(f"no product for {unknown}; there are {sorted(products)}")
+    return {a: write_results(products[a], output_base(root, scenario, product, a, agg_type),
+                             sort_by=(sort_by or {}).get(a), formats=formats) for a in activities}
+
+
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "rn",
                   partition_by: Sequence[str] = (), mode: str = "overwrite",
                   path: str | None = None) -> None:

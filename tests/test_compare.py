@@ -52,3 +52,12 @@ def test_release_check_flags(spark):
     got = {r["pod"]: r for r in K.release_check(dev, rel, ["dataset", "pod"], ["n"]).collect()}
     assert got["a"]["all_equal"] and not got["b"]["all_equal"]
     assert (got["c"]["dev_n"], got["c"]["release_n"]) == (0, 2)
+
+
+def test_compare_default_keeps_null_key_cells(spark):
+    from mcrunstat.operators.compare import compare_default
+
+    rows = [("D", None, "S", "m", 2.0, 4.0), ("D", "p", "S", "m", 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "dataset string, pod string, sitetret string, measure string, baseline double, mean double")
+    got = compare_default(df, df, ("a", "b"))
+    assert got.count() == 2 and got.where("pod is null").count() == 1

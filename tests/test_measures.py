@@ -78,3 +78,28 @@ def test_run_row_counts(spark):
     runs = spark.createDataFrame([(1, 1), (2, 1), (1, 2)], "rn long, model_run int")
     got = {r["model_run"]: r["ok"] for r in M.run_row_counts(base, runs).collect()}
     assert got == {1: True, 2: False}
+
+
+def test_rows_join_on_dataset_and_year(spark):
+    base = spark.createDataFrame(
+        [(1, d, y, "S1", 30, "ip_elective_admission", "t", 1, 3, "1", "a") for d, y in (("A", 2023), ("B", 2024))],
+        "rn long, dataset string, fyear int, sitetret string, age int, pod string, tretspef string, has_procedure int,"
+        " speldur int, classpat string, age_group string")
+    runs = spark.createDataFrame([(1, "A", 2023, 1, 5, "1")],
+                                 "rn long, dataset string, fyear int, model_run int, speldur int, classpat string")
+    got = M.ip_run_rows(base, runs).collect()
+    assert [(r["dataset"], r["speldur"]) for r in got] == [("A", 5)]
+    assert M.duplicate_rows(base).count() == 0 and M.duplicate_rows(base.drop("dataset", "fyear")).count() == 1
+
+
+def test_run_row_counts_reports_missing_runs(spark):
+    base = spark.createDataFrame([(1,), (2,)], "rn long")
+    runs = spark.createDataFrame([(1, 1), (2, 1), (1, 3)], "rn long, model_run int")
+    got = {r["model_run"]: (r["run_rows"], r["ok"]) for r in M.run_row_counts(base, runs, n_runs=3).collect()}
+    assert got == {1: (2, True), 2: (0, False), 3: (1, False)}
+
+
+def test_null_sums_of_op_cells_are_zero(spark):
+    rows = spark.createDataFrame([("S", None, None)], "sitetret string, attendances int, tele_attendances int")
+    got = {r["measure"]: r["value"] for r in M.op_cell_values(rows, ["sitetret"], run=None).collect()}
+    assert got == {"attendances": 0, "tele_attendances": 0}

@@ -97,3 +97,26 @@ def test_normal_ci_single_run_lower_zero_upper_null(spark):
     df = spark.createDataFrame([(1, "a", 4)], "model_run int, g string, v long")
     r = normal_ci(df, ["g"], ["v"]).collect()[0]
     assert r["std_v"] is None and r["v_lower_ci"] == 0.0 and r["v_upper_ci"] is None  # D18
+
+
+def test_normal_ci_counts_null_values_as_zeros(spark):
+    from mcrunstat.operators.montecarlo import normal_ci
+
+    per_run = spark.createDataFrame([("a", 1, None, 4), ("a", 2, 6.0, None), ("b", 1, None, 1)],
+                                    "cell string, model_run int, v double, w int")
+    got = {r["cell"]: r for r in normal_ci(per_run, ["cell"], ["v", "w"], n_runs=4).collect()}
+    assert (got["a"]["mean_v"], got["a"]["n_v"], got["b"]["mean_v"], got["b"]["std_v"]) == (1.5, 4, 0.0, 0.0)
+    assert got["a"]["mean_w"] == 1.0 and abs(got["a"]["std_v"] - 3.0) < 1e-12
+
+
+def test_sampling_takes_any_fraction(spark):
+    import pytest
+
+    from mcrunstat.plans.products import hash_sample
+
+    df = spark.range(200_000).withColumnRenamed("id", "rn")
+    assert 0 < hash_sample(df, 0.00004, 1).count() < 40
+    assert hash_sample(df, 1, 1).count() == 200_000
+    for bad in (0, -1, 1.5):
+        with pytest.raises(ValueError):
+            hash_sample(df, bad, 1)

@@ -6,7 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from mcrunstat.plans.oracle import oracle_sql
+from mcrunstat.plans.queries import queries
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]

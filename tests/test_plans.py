@@ -2,7 +2,7 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from mcrunstat.plans.queries import queries
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -23,4 +23,17 @@ def test_flagship_prunes_and_pushes_down(spark):
     assert "PushedFilters: [IsNotNull(l_returnflag), Not(EqualTo(l_returnflag,R))" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double," \
            "l_returnflag:string>" in plan
-    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_flagship_without_broadcasts(spark):
+    """At scale no side is small: two sort-merge joins' sides, two aggregations, no more."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = queries()["detailed_ip_standard"](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 3
+    assert plan.count("Exchange hashpartitioning") == 8

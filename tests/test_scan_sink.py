@@ -60,3 +60,51 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert joined.count() == 400
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_half_written_output_is_written_anew(spark):
+    base = os.path.join(tempfile.mkdtemp(prefix="sink-"), "o")
+    df = spark.createDataFrame([("b", 2.0), ("a", 1.0), ("c", 3.0)], "k string, v double")
+    os.makedirs(f"{base}.parquet")  # a write that ended without _SUCCESS
+    assert write_results(df, base, sort_by=["v"], descending=["v"]) is True
+    assert spark.read.parquet(f"{base}.parquet").count() == 3
+    lines = [x for f in sorted(os.listdir(f"{base}.csv")) if f.endswith(".csv")
+             for x in open(f"{base}.csv/{f}").read().split()[1:]]
+    assert lines == ["c,3.0", "b,2.0", "a,1.0"]
+    os.remove(f"{base}.csv/_SUCCESS")
+    assert write_results(df, base) is True and write_results(df, base) is False
+
+
+def test_chosen_activities_and_formats(spark):
+    import pytest
+
+    from mcrunstat.sources.sink import write_activities
+
+    root = tempfile.mkdtemp(prefix="acts-")
+    df = spark.range(3)
+    products = {"ip": df, "op": df}
+    first = write_activities(products, root, "scn", "detailed", "hrg", ["op"], formats=["csv"])
+    assert first == {"op": True} and os.listdir(root) == ["scn_detailed_op_hrg.csv"]
+    both = write_activities(products, root, "scn", "detailed", "hrg", ["ip", "op"], formats=["csv"])
+    assert both == {"ip": True, "op": False}
+    with pytest.raises(ValueError):
+        write_activities(products, root, "scn", "detailed", "hrg", ["aae"])
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    import pytest
+
+    from mcrunstat.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
