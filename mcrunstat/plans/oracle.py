@@ -29,11 +29,12 @@ AGE_CUT_SQL = """case when coalesce({c}, -1) >= -1 and coalesce({c}, -1) < 0 the
 OP_POD_SQL = """case when {p}has_procedures then 'op_procedure' when {p}is_first then 'op_first'
   else 'op_follow-up' end"""
 
-IP_STD = ["sitetret", "age_group", "sex", "pod", "tretspef", "los_group", "maternity_delivery_in_spell"]
-IP_HRG = ["sitetret", "age_group", "pod", "tretspef", "sushrg", "maternity_delivery_in_spell"]
-OP_CELLS = ["sitetret", "pod", "age_group", "tretspef"]
-AAE_STD = ["sitetret", "pod", "age_group", "attendance_category", "aedepttype", "acuity"]
-AAE_HRG = ["sitetret", "pod", "age_group", "attendance_category", "aedepttype"]
+IP_BY = ["dataset", "fyear"]
+IP_STD = [*IP_BY, "sitetret", "age_group", "sex", "pod", "tretspef", "los_group", "maternity_delivery_in_spell"]
+IP_HRG = [*IP_BY, "sitetret", "age_group", "pod", "tretspef", "sushrg", "maternity_delivery_in_spell"]
+OP_CELLS = ["dataset", "sitetret", "pod", "age_group", "tretspef"]
+AAE_STD = ["dataset", "sitetret", "pod", "age_group", "attendance_category", "aedepttype", "acuity"]
+AAE_HRG = ["dataset", "sitetret", "pod", "age_group", "attendance_category", "aedepttype"]
 
 
 def f(tpl: str, c: str) -> str:
@@ -71,7 +72,7 @@ def ip_per_run_ctes(cells: list[str], hrg: bool, runs: str = "ip_runs", los: str
     pos = "where value > 0" if positive else ""
     return f"""
 _j_{name} AS (
-  select r.model_run, b.sitetret, {age} as age_group, b.sex,
+  select r.model_run, b.dataset, b.fyear, b.sitetret, {age} as age_group, b.sex,
          case when r.classpat = '2' then 'ip_elective_daycase' else b.pod end as pod,
          b.tretspef, b.sushrg, {f(los, 'r.speldur')} as los_group, b.maternity_delivery_in_spell,
          r.speldur + 1 as beddays, b.has_procedure
@@ -106,7 +107,7 @@ def op_base_cte(hrg: bool, name: str = "opb") -> str:
     age = f(AGE_CUT_SQL, "age") if hrg else "coalesce(age_group, 'unknown')"
     return f"""
 {name} AS (
-  select rn, coalesce(sitetret, 'unknown') as sitetret, {OP_POD_SQL.format(p='')} as pod,
+  select rn, dataset, coalesce(sitetret, 'unknown') as sitetret, {OP_POD_SQL.format(p='')} as pod,
          {age} as age_group, coalesce(tretspef, 'unknown') as tretspef,
          attendances, tele_attendances
   from op_baseline
@@ -118,13 +119,13 @@ def op_per_run_ctes(hrg: bool, name: str = "opr") -> str:
     conv_age = f(AGE_CUT_SQL, "age") if hrg else "age_group"
     return op_base_cte(hrg) + f""",
 _rows_{name} AS (
-  select r.model_run, b.sitetret, b.pod, b.age_group, b.tretspef,
+  select r.model_run, b.dataset, b.sitetret, b.pod, b.age_group, b.tretspef,
          cast(r.attendances as bigint) as attendances,
          cast(r.tele_attendances as bigint) as tele_attendances
   from opb b join op_runs r on b.rn = r.rn
 ),
 _conv_{name} AS (
-  select model_run, sitetret, 'op_procedure' as pod, {conv_age} as age_group, tretspef,
+  select model_run, dataset, sitetret, 'op_procedure' as pod, {conv_age} as age_group, tretspef,
          sum(attendances) as attendances
   from op_conversion group by all
 ),
@@ -134,12 +135,13 @@ _m_{name} AS (
 ),
 _t_{name} AS (
   select coalesce(m.model_run, c.model_run) as model_run,
+         coalesce(m.dataset, c.dataset) as dataset,
          coalesce(m.sitetret, c.sitetret) as sitetret, coalesce(m.pod, c.pod) as pod,
          coalesce(m.age_group, c.age_group) as age_group, coalesce(m.tretspef, c.tretspef) as tretspef,
          coalesce(m.attendances, 0) + coalesce(c.attendances, 0) as attendances,
          m.tele_attendances
   from _m_{name} m full join (select * from _conv_{name} where {notnull(OP_CELLS)}) c
-    on m.model_run = c.model_run and m.sitetret = c.sitetret and m.pod = c.pod
+    on m.model_run = c.model_run and m.dataset = c.dataset and m.sitetret = c.sitetret and m.pod = c.pod
    and m.age_group = c.age_group and m.tretspef = c.tretspef
 ),
 {name} AS (
@@ -160,7 +162,7 @@ def aae_base_cte(hrg: bool, name: str = "aeb") -> str:
     age = f(AGE_CUT_SQL, "age") if hrg else "coalesce(age_group, 'unknown')"
     return f"""
 {name} AS (
-  select rn, coalesce(sitetret, 'unknown') as sitetret, coalesce(pod, 'unknown') as pod,
+  select rn, dataset, coalesce(sitetret, 'unknown') as sitetret, coalesce(pod, 'unknown') as pod,
          {age} as age_group, coalesce(attendance_category, 'unknown') as attendance_category,
          coalesce(aedepttype, 'unknown') as aedepttype, coalesce(acuity, 'unknown') as acuity,
          case when is_ambulance then 'ambulance' else 'walk-in' end as measure, arrivals
@@ -177,7 +179,7 @@ _all_{name} AS (
   from aeb b join aae_runs r on b.rn = r.rn
   union all
   select model_run, {k}, measure, arrivals from (
-    select model_run, sitetret, 'aae_type-05' as pod, {conv_age} as age_group, attendance_category,
+    select model_run, dataset, sitetret, 'aae_type-05' as pod, {conv_age} as age_group, attendance_category,
            aedepttype, acuity, grp as measure, arrivals from sdec_conversion) s
   where {notnull(cells + ['measure'])}
 ),
@@ -207,7 +209,7 @@ def ip_base_cells_cte(cells: list[str]) -> str:
     k = ", ".join(cells)
     return f"""
 _bj AS (
-  select sitetret, {f(AGE_CUT_SQL, 'age')} as age_group,
+  select dataset, fyear, sitetret, {f(AGE_CUT_SQL, 'age')} as age_group,
          case when classpat = '2' then 'ip_elective_daycase' else pod end as pod, tretspef, sushrg,
          maternity_delivery_in_spell, speldur + 1 as beddays, has_procedure
   from ip_baseline
@@ -478,24 +480,26 @@ WITH e AS (select cast(range + 1 as int) as model_run from range(16))
 select e.model_run, count(r.rn) as run_rows, (select count(*) from aae_baseline) as baseline_rows,
        count(r.rn) = (select count(*) from aae_baseline) as ok
 from e left join (select * from aae_runs where model_run <> 2) r on e.model_run = r.model_run group by e.model_run"""
-    av = ["pod", "los_group", "sushrg"]
+    av = [*IP_BY, "pod", "los_group", "sushrg"]
     q["activity_avoided"] = ("WITH " + ip_per_run_ctes(av, False, runs="ip_avoided", los=LOS_AVOIDED_SQL,
                                                        positive=False) + ","
                              + summary_ctes("ipr", av + ["measure"], 256) + "\nselect * from summ")
     q["attach_baseline_ip"] = attach_ip_sql()
     q["attach_baseline_op"] = attach_op_sql()
     q["attach_baseline_aae"] = attach_aae_sql()
-    prefix = "full-model-results/v4.1/D0/scn-ip_elective_admission/20250101_100000"
+    done = f"""
+comp AS ({COMPLETENESS_SQL}),
+done AS (select distinct string_split(prefix, '/')[3] as dataset from comp
+         where all_runs_present and string_split(prefix, '/')[4] = 'scn-ip_elective_admission')"""
     q["pipeline_hrg_baseline"] = f"""
 WITH ip AS ({q['attach_baseline_ip']}),
 op AS ({q['attach_baseline_op']}),
-aae AS ({q['attach_baseline_aae']}),
-comp AS ({COMPLETENESS_SQL})
+aae AS ({q['attach_baseline_aae']}),{done}
 select * from (
   select *, 'ip' as activity from ip
   union all by name select *, 'op' as activity from op
   union all by name select *, 'aae' as activity from aae
-) t where coalesce((select bool_or(is_full_results) from comp where prefix = '{prefix}'), false)"""
+) t where dataset in (select dataset from done)"""
 
     # ----------------------------------------------------------- run lists
     q["collect_runs"] = COLLECT_RUNS_SQL.format(src="default_old")
@@ -569,6 +573,15 @@ WITH b AS (
 cells AS (select {", ".join(aek)}, measure, cast(sum(arrivals) as bigint) as value
           from b where {notnull(aek + ['measure'])} group by all)""" + suppress_sql(
         "cells", aek + ["measure"], ["dataset", "pod"])
+    customs = {a: q[f"custom_baseline_{a}"] for a in ("ip", "op", "aae")}
+
+    def stacked(parts: dict[str, str]) -> str:
+        return " union all by name ".join(f"select *, '{a}' as activity from ({sql}) {a}_x" for a, sql in parts.items())
+
+    q["pipeline_standard"] = f"WITH {done.strip()} select * from ({stacked(customs)}) t where dataset in (select dataset from done)"
+    sited = {a: sql.replace(f"from {a}_baseline", f"from (select * from {a}_baseline where sitetret in ({s})) w")
+             for (a, sql), s in zip(customs.items(), ["'S00', 'S03'", "'S01'", "select sitetret from aae_baseline"])}
+    q["custom_baseline_sites"] = stacked(sited)
     sk = ["dataset", "sitetret", "pod", "tretspef", "sushrg"]
     q["suppress_small_counts"] = f"""
 WITH cells AS (select {", ".join(sk)}, count(rn) as value from ip_baseline

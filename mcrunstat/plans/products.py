@@ -22,86 +22,103 @@ from ..session import materialize
 from ..sources.catalog import run_completeness
 
 
+#: What a product is made for; kept apart wherever a table carries them.
+BY = ("dataset", "fyear")
+
+
+def by_columns(baseline: DataFrame, by: Sequence[str] | None = None) -> list[str]:
+    """The keys that go before the cells: by default those of ``BY`` in the baseline, so
+    many datasets and years go through one job and never mix."""
+    return [c for c in BY if c in baseline.columns] if by is None else list(by)
+
+
 # ------------------------------------------------------------------ P1-P3
 def ip_per_run(baseline: DataFrame, runs: DataFrame, config: AggConfig = STANDARD,
-               keep_null_keys: bool = False) -> DataFrame:
+               keep_null_keys: bool = False, by: Sequence[str] | None = None) -> DataFrame:
     base = M.with_age_groups(baseline, config.age_groups)
     rows = M.ip_run_rows(base, runs, los_detailed)
-    return M.ip_cell_values(rows, config.ip_cols, "model_run", positive_only=True,
-                            keep_null_keys=keep_null_keys)
+    return M.ip_cell_values(rows, by_columns(baseline, by) + list(config.ip_cols), "model_run",
+                            positive_only=True, keep_null_keys=keep_null_keys)
 
 
 def detailed_ip(baseline: DataFrame, runs: DataFrame, config: AggConfig = STANDARD,
-                n_runs: int = N_RUNS, keep_null_keys: bool = False) -> DataFrame:
+                n_runs: int = N_RUNS, keep_null_keys: bool = False,
+                by: Sequence[str] | None = None) -> DataFrame:
     """Inpatient cells summarised over all runs (one plan, all runs at once)."""
-    per_run = ip_per_run(baseline, runs, config, keep_null_keys)
-    return run_summary(per_run, list(config.ip_cols) + ["measure"], n_runs)
+    per_run = ip_per_run(baseline, runs, config, keep_null_keys, by)
+    return run_summary(per_run, by_columns(baseline, by) + list(config.ip_cols) + ["measure"], n_runs)
 
 
 def op_per_run(baseline: DataFrame, runs: DataFrame, conversions: DataFrame | None,
-               config: AggConfig = STANDARD) -> DataFrame:
+               config: AggConfig = STANDARD, by: Sequence[str] | None = None) -> DataFrame:
+    cells = by_columns(baseline, by) + list(config.op_cols)
     base = M.op_baseline_prepared(baseline, config.age_groups)
     rows = M.op_run_rows(base, runs)
-    conv = None if conversions is None else M.op_conversion_rows(
-        conversions, config.op_cols, config.age_groups)
-    return M.op_cell_values(rows, config.op_cols, "model_run", conv)
+    conv = None if conversions is None else M.op_conversion_rows(conversions, cells, config.age_groups)
+    return M.op_cell_values(rows, cells, "model_run", conv)
 
 
 def detailed_op(baseline: DataFrame, runs: DataFrame, conversions: DataFrame | None,
-                config: AggConfig = STANDARD, n_runs: int = N_RUNS) -> DataFrame:
+                config: AggConfig = STANDARD, n_runs: int = N_RUNS,
+                by: Sequence[str] | None = None) -> DataFrame:
     """Outpatient cells incl. ip->op conversions, summarised over runs."""
-    per_run = op_per_run(baseline, runs, conversions, config)
-    return run_summary(per_run, list(config.op_cols) + ["measure"], n_runs)
+    per_run = op_per_run(baseline, runs, conversions, config, by)
+    return run_summary(per_run, by_columns(baseline, by) + list(config.op_cols) + ["measure"], n_runs)
 
 
 def aae_per_run(baseline: DataFrame, runs: DataFrame, conversions: DataFrame | None,
-                config: AggConfig = STANDARD) -> DataFrame:
+                config: AggConfig = STANDARD, by: Sequence[str] | None = None) -> DataFrame:
+    cells = by_columns(baseline, by) + list(config.aae_cols)
     base = M.aae_baseline_prepared(baseline, config.age_groups)
     rows = M.aae_run_rows(base, runs)
-    conv = None if conversions is None else M.aae_conversion_rows(
-        conversions, config.aae_cols, config.age_groups)
-    return M.aae_cell_values(rows, config.aae_cols, "model_run", conv)
+    conv = None if conversions is None else M.aae_conversion_rows(conversions, cells, config.age_groups)
+    return M.aae_cell_values(rows, cells, "model_run", conv)
 
 
 def detailed_aae(baseline: DataFrame, runs: DataFrame, conversions: DataFrame | None,
-                 config: AggConfig = STANDARD, n_runs: int = N_RUNS) -> DataFrame:
+                 config: AggConfig = STANDARD, n_runs: int = N_RUNS,
+                 by: Sequence[str] | None = None) -> DataFrame:
     """A&E cells incl. same-day-care conversions, summarised over runs."""
-    per_run = aae_per_run(baseline, runs, conversions, config)
-    return run_summary(per_run, list(config.aae_cols) + ["measure"], n_runs)
+    per_run = aae_per_run(baseline, runs, conversions, config, by)
+    return run_summary(per_run, by_columns(baseline, by) + list(config.aae_cols) + ["measure"], n_runs)
 
 
 # ------------------------------------------------------------------ P5
-def ip_baseline_cells(baseline: DataFrame, config: AggConfig = HRG) -> DataFrame:
+def ip_baseline_cells(baseline: DataFrame, config: AggConfig = HRG, by: Sequence[str] | None = None) -> DataFrame:
     base = M.ip_measures(M.with_age_groups(baseline, config.age_groups), los_detailed)
-    return M.ip_cell_values(base, config.ip_cols, run=None, positive_only=True)
+    return M.ip_cell_values(base, by_columns(baseline, by) + list(config.ip_cols), run=None, positive_only=True)
 
 
-def op_baseline_cells(baseline: DataFrame, config: AggConfig = HRG) -> DataFrame:
+def op_baseline_cells(baseline: DataFrame, config: AggConfig = HRG, by: Sequence[str] | None = None) -> DataFrame:
     """The baseline gets the same ``unknown`` fill as the run results."""
     base = M.op_baseline_prepared(baseline, config.age_groups)
-    return M.op_cell_values(base, config.op_cols, run=None)
+    return M.op_cell_values(base, by_columns(baseline, by) + list(config.op_cols), run=None)
 
 
-def aae_baseline_cells(baseline: DataFrame, config: AggConfig = HRG) -> DataFrame:
+def aae_baseline_cells(baseline: DataFrame, config: AggConfig = HRG, by: Sequence[str] | None = None) -> DataFrame:
     base = M.aae_baseline_prepared(baseline, config.age_groups)
-    return M.aae_cell_values(base, config.aae_cols, run=None)
+    return M.aae_cell_values(base, by_columns(baseline, by) + list(config.aae_cols), run=None)
 
 
-def attach_baseline_ip(baseline, runs, config: AggConfig = HRG, n_runs: int = N_RUNS) -> DataFrame:
-    res = detailed_ip(baseline, runs, config, n_runs)
-    return attach_baseline(res, ip_baseline_cells(baseline, config), list(config.ip_cols) + ["measure"])
+def attach_baseline_ip(baseline, runs, config: AggConfig = HRG, n_runs: int = N_RUNS,
+                       by: Sequence[str] | None = None) -> DataFrame:
+    res = detailed_ip(baseline, runs, config, n_runs, by=by)
+    return attach_baseline(res, ip_baseline_cells(baseline, config, by),
+                           by_columns(baseline, by) + list(config.ip_cols) + ["measure"])
 
 
 def attach_baseline_op(baseline, runs, conversions, config: AggConfig = HRG,
-                       n_runs: int = N_RUNS) -> DataFrame:
-    res = detailed_op(baseline, runs, conversions, config, n_runs)
-    return attach_baseline(res, op_baseline_cells(baseline, config), list(config.op_cols) + ["measure"])
+                       n_runs: int = N_RUNS, by: Sequence[str] | None = None) -> DataFrame:
+    res = detailed_op(baseline, runs, conversions, config, n_runs, by)
+    return attach_baseline(res, op_baseline_cells(baseline, config, by),
+                           by_columns(baseline, by) + list(config.op_cols) + ["measure"])
 
 
 def attach_baseline_aae(baseline, runs, conversions, config: AggConfig = HRG,
-                        n_runs: int = N_RUNS) -> DataFrame:
-    res = detailed_aae(baseline, runs, conversions, config, n_runs)
-    return attach_baseline(res, aae_baseline_cells(baseline, config), list(config.aae_cols) + ["measure"])
+                        n_runs: int = N_RUNS, by: Sequence[str] | None = None) -> DataFrame:
+    res = detailed_aae(baseline, runs, conversions, config, n_runs, by)
+    return attach_baseline(res, aae_baseline_cells(baseline, config, by),
+                           by_columns(baseline, by) + list(config.aae_cols) + ["measure"])
 
 
 # ------------------------------------------------------------------ P6
@@ -150,11 +167,13 @@ def custom_baseline_aae(baseline: DataFrame, by: Sequence[str] = ("dataset",),
 AVOIDED_CELLS = ("pod", "los_group", "sushrg")
 
 
-def activity_avoided(baseline: DataFrame, avoided: DataFrame, n_runs: int = N_RUNS) -> DataFrame:
+def activity_avoided(baseline: DataFrame, avoided: DataFrame, n_runs: int = N_RUNS,
+                     by: Sequence[str] | None = None) -> DataFrame:
     """Avoided ip activity by HRG; zero cells stay (no positive filter)."""
+    cells = by_columns(baseline, by) + list(AVOIDED_CELLS)
     rows = M.ip_run_rows(baseline, avoided, los_avoided)
-    per_run = M.ip_cell_values(rows, list(AVOIDED_CELLS), "model_run", positive_only=False)
-    return run_summary(per_run, list(AVOIDED_CELLS) + ["measure"], n_runs)
+    per_run = M.ip_cell_values(rows, cells, "model_run", positive_only=False)
+    return run_summary(per_run, cells + ["measure"], n_runs)
 
 
 # ------------------------------------------------------------------ P8
@@ -237,24 +256,54 @@ def national_filled(sample: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ P12
-def pipeline_hrg_baseline(fx, listing: DataFrame, scenario_prefix: str,
-                          n_runs_ip: int = N_RUNS, n_runs_other: int = 16) -> DataFrame:
-    """Results with baseline for all three activities, stacked with an
-    ``activity`` column, produced only when the full results are complete (S15).
+def complete_datasets(listing: DataFrame, scenario: str, n_runs: int = N_RUNS) -> DataFrame:
+    """Datasets of a scenario whose full results hold every run."""
+    done = run_completeness(listing, n_runs=n_runs).where("all_runs_present")
+    parts = F.split("prefix", "/")
+    return done.where(F.get(parts, 3) == scenario).select(F.get(parts, 2).alias("dataset")).distinct()
 
-    The completeness flag is a scalar subquery, so nothing is decided on the driver.
-    """
-    complete = run_completeness(listing).where(F.col("prefix") == scenario_prefix).agg(
-        F.coalesce(F.bool_or("is_full_results"), F.lit(False))).scalar()
-    op_base = M.add_op_pod(fx["op_baseline"])
-    parts = [
-        ("ip", attach_baseline_ip(fx["ip_baseline"], fx["ip_runs"], HRG, n_runs_ip)),
-        ("op", attach_baseline_op(op_base, fx["op_runs"], fx["op_conversion"], HRG, n_runs_other)),
-        ("aae", attach_baseline_aae(fx["aae_baseline"], fx["aae_runs"], fx["sdec_conversion"], HRG,
-                                    n_runs_other)),
-    ]
+
+def _stacked(parts: dict[str, DataFrame]) -> DataFrame:
     out = None
-    for name, df in parts:
+    for name, df in parts.items():
         df = df.withColumn("activity", F.lit(name))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out.where(complete)
+    return out
+
+
+def pipeline_hrg_baseline(fx, listing: DataFrame, scenario: str,
+                          n_runs_ip: int = N_RUNS, n_runs_other: int = 16) -> DataFrame:
+    """P12, hrg branch: results with baseline for all three activities, stacked with an
+    ``activity`` column, for the datasets of which all runs are there.
+
+    The others leave by a semi-join on the baselines and conversions, below every other
+    join, so nothing is computed for them and nothing is decided on the driver.
+    """
+    done = complete_datasets(listing, scenario, n_runs_ip)
+
+    def only(name: str) -> DataFrame:
+        return fx[name].join(done, "dataset", "left_semi")
+
+    return _stacked({
+        "ip": attach_baseline_ip(only("ip_baseline"), fx["ip_runs"], HRG, n_runs_ip),
+        "op": attach_baseline_op(M.add_op_pod(only("op_baseline")), fx["op_runs"], only("op_conversion"), HRG, n_runs_other),
+        "aae": attach_baseline_aae(only("aae_baseline"), fx["aae_runs"], only("sdec_conversion"), HRG, n_runs_other),
+    })
+
+
+def custom_baselines(ip: DataFrame, op: DataFrame, aae: DataFrame, sites: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """P6 for all three activities, each with its own list of sites (F1)."""
+    sites = sites or {}
+    return _stacked({
+        "ip": custom_baseline_ip(ip, sites=sites.get("ip", ("ALL",))),
+        "op": custom_baseline_op(op, sites=sites.get("op", ("ALL",))),
+        "aae": custom_baseline_aae(aae, sites=sites.get("aae", ("ALL",))),
+    })
+
+
+def pipeline_standard(fx, listing: DataFrame, scenario: str, n_runs_ip: int = N_RUNS,
+                      sites: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """P12, standard branch: the custom baselines of the datasets with complete results."""
+    done = complete_datasets(listing, scenario, n_runs_ip)
+    tables = (fx[f"{a}_baseline"].join(done, "dataset", "left_semi") for a in ("ip", "op", "aae"))
+    return custom_baselines(*tables, sites)

@@ -34,7 +34,8 @@ N_OTHER = 16          # runs in the op/aae fixtures
 NATIONAL_SEED = 7
 SAMPLE_FRACTION = 0.01
 SITES_ARG = "s00,S03"  # F1 argument as a user types it
-SCENARIO_PREFIX = "full-model-results/v4.1/D0/scn-ip_elective_admission/20250101_100000"
+SCENARIO = "scn-ip_elective_admission"
+SITES = {"ip": "s00,S03", "op": "S01", "aae": "all"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -215,7 +216,19 @@ def q_attach_aae(spark, sf):
 @query("pipeline_hrg_baseline")
 def q_pipeline(spark, sf):
     fx = _fx(spark, sf)
-    return P.pipeline_hrg_baseline(fx, fx["file_paths"], SCENARIO_PREFIX)
+    return P.pipeline_hrg_baseline(fx, fx["file_paths"], SCENARIO)
+
+
+@query("pipeline_standard")
+def q_pipeline_standard(spark, sf):
+    fx = _fx(spark, sf)
+    return P.pipeline_standard(fx, fx["file_paths"], SCENARIO)
+
+
+@query("custom_baseline_sites")
+def q_custom_sites(spark, sf):
+    fx = _fx(spark, sf)
+    return P.custom_baselines(fx["ip_baseline"], fx["op_baseline"], fx["aae_baseline"], M.compile_sites(**SITES))
 
 
 # ------------------------------------------------------------ run lists

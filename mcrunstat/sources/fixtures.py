@@ -97,6 +97,7 @@ select rn, model_run, cast((rn + model_run) % 3 + 1 as int) as arrivals
 from {aae_baseline} cross join {runs16}""",
     "op_conversion": """
 select cast(l_partkey % 16 + 1 as int) as model_run,
+       concat('D', cast(l_suppkey % 3 as string)) as dataset,
        concat('S0', cast(l_suppkey % 6 as string)) as sitetret,
        concat('ag', cast(l_suppkey % 4 as string)) as age_group,
        cast(l_orderkey % 100 as int) as age,
@@ -105,6 +106,7 @@ select cast(l_partkey % 16 + 1 as int) as model_run,
 from {lineitem} where l_returnflag = 'R'""",
     "sdec_conversion": """
 select cast(l_partkey % 16 + 1 as int) as model_run,
+       concat('D', cast(l_suppkey % 3 as string)) as dataset,
        concat('S0', cast(l_suppkey % 6 as string)) as sitetret,
        concat('ag', cast(l_suppkey % 4 as string)) as age_group,
        cast(l_orderkey % 100 as int) as age,
