@@ -162,7 +162,8 @@ def reconcile(detailed: DataFrame, default: DataFrame, measures: Sequence[str],
 
     def fix(c: Column) -> Column:
         if rule in ("trunc", "round1"):
-            return c.cast("long").cast("double")
+            # sums of rounded cells end in binary dust: 6 places first
+            return F.round(c, 6).cast("long").cast("double")
         if rule == "round0":
             return F.bround(c, 0)
         return c

@@ -507,15 +507,24 @@ select * from (
 select scenario, dataset, pod, sitetret, measure,
        array_to_string(list(value order by model_run), ',') as model_runs, avg(value) as mean
 from default_old group by scenario, dataset, pod, sitetret, measure"""
-    q["reconcile"] = ("WITH " + ip_per_run_ctes(IP_STD, False) + ","
-                      + summary_ctes("ipr", IP_STD + ["measure"], 256) + "," + a6("default_old", "d6") + """,
-det AS (select measure, sum(mean) as detailed from summ where measure in ('beddays', 'admissions') group by all),
-dft AS (select measure, sum(mean) as "default" from d6 where measure in ('beddays', 'admissions') group by all),
-j AS (select coalesce(a.measure, b.measure) as measure,
-             cast(trunc(coalesce(a."default", 0)) as double) as "default",
-             cast(trunc(coalesce(b.detailed, 0)) as double) as detailed
-      from dft a full join det b on a.measure = b.measure)
-select measure, "default", detailed, detailed - "default" as diff, abs(detailed - "default") <= 1 as ok from j""")
+
+    def reconciled(kind: str, ctes: str, measures: list[str], cell: str, total: str, tolerance: float) -> str:
+        m = ", ".join(f"'{x}'" for x in measures)
+        return f"""WITH {ctes},
+det AS (select measure, sum({cell.format(c='mean')}) as detailed from summ where measure in ({m}) group by all),
+dft AS (select p.pair, d.measure, sum(d.mean) as "default" from default_means d, (values ('match'), ('broken')) p(pair)
+        where d.activity = '{kind}' and d.measure in ({m}) and (p.pair = 'match' or d.dataset <> 'D0') group by all),
+j AS (select pair, measure, cast({total.format(c='round("default", 6)')} as double) as "default",
+             cast({total.format(c='round(detailed, 6)')} as double) as detailed from dft join det using (measure))
+select pair, measure, "default", detailed, detailed - "default" as diff, abs(detailed - "default") <= {tolerance} as ok
+from j"""
+
+    q["reconcile"] = reconciled("ip", ip_per_run_ctes(IP_STD, False) + "," + summary_ctes("ipr", IP_STD + ["measure"], 256),
+                                ["beddays", "admissions"], "{c}", "trunc({c})", 1)
+    q["reconcile_op"] = reconciled("op", op_per_run_ctes(False) + "," + summary_ctes("opr", OP_CELLS + ["measure"], 16),
+                                   ["attendances", "tele_attendances"], "round_even({c}, 1)", "trunc({c})", 10)
+    q["reconcile_aae"] = reconciled("aae", aae_per_run_ctes(AAE_STD, False) + "," + summary_ctes("aer", AAE_STD + ["measure"], 16),
+                                    ["ambulance", "walk-in"], "{c}", "round_even({c}, 0)", 1)
 
     # ----------------------------------------------------------- baselines
     q["baseline_ip"] = """

@@ -244,12 +244,23 @@ def q_collect_runs_nb(spark, sf):
     return d.withColumn("model_runs", F.array_join("model_runs", ","))
 
 
-@query("reconcile")
-def q_reconcile(spark, sf):
-    fx = _fx(spark, sf)
-    det = P.detailed_ip(fx["ip_baseline"], fx["ip_runs"], STANDARD)
-    dft = collect_runs(fx["default_old"])
-    return K.reconcile(det, dft, ["beddays", "admissions"], rule="trunc", tolerance=1.0)
+def _reconcile(kind, measures, rule, tolerance):
+    """C4: the detailed totals against aggregated results of the same cells, and against a
+    broken table that lacks one dataset."""
+    def q(spark, sf):
+        fx = _fx(spark, sf)
+        det = REGISTRY[f"detailed_{kind}_standard"](spark, sf)
+        dft = fx["default_means"].where(F.col("activity") == kind)
+        out = [K.reconcile(det, d, measures, rule, tolerance).withColumn("pair", F.lit(pair))
+               for pair, d in (("match", dft), ("broken", dft.where("dataset <> 'D0'")))]
+        return rounded(out[0].unionByName(out[1]))
+    return q
+
+
+# rounding each cell to one place moves a total by its cells' rounding: 0.05 a cell at most
+REGISTRY["reconcile"] = _reconcile("ip", ["beddays", "admissions"], "trunc", 1.0)
+REGISTRY["reconcile_op"] = _reconcile("op", ["attendances", "tele_attendances"], "round1", 10.0)
+REGISTRY["reconcile_aae"] = _reconcile("aae", ["ambulance", "walk-in"], "round0", 1.0)
 
 
 # ------------------------------------------------------------ baselines

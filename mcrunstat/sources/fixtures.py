@@ -138,6 +138,32 @@ select 'scn-testdev' as scenario, dataset, pod, sitetret, measure, model_run,
 from {default_old} where not (dataset = 'D1' and pod = 'op_procedure')
 union all select 'scn-testdev', 'D0', 'new_pod', 'S00', 'admissions', 0, cast(3 as bigint)
 union all select 'scn-testdev', 'D0', 'new_pod', 'S00', 'admissions', 1, cast(4 as bigint)""",
+    # Aggregated results with the labels of the detailed ones: a mean over all runs per cell.
+    "default_means": """
+select 'ip' as activity, dataset, pod, sitetret, 'admissions' as measure, cast(count(*) as double) / 256 as mean
+from (select b.dataset, b.sitetret, r.speldur, case when r.classpat = '2' then 'ip_elective_daycase' else b.pod end as pod
+      from {ip_baseline} b join {ip_runs} r on b.rn = r.rn) a
+where pod <> 'op_procedure' group by dataset, pod, sitetret
+union all
+select 'ip', dataset, pod, sitetret, 'beddays', cast(sum(speldur + 1) as double) / 256
+from (select b.dataset, b.sitetret, r.speldur, case when r.classpat = '2' then 'ip_elective_daycase' else b.pod end as pod
+      from {ip_baseline} b join {ip_runs} r on b.rn = r.rn) a
+where pod <> 'op_procedure' group by dataset, pod, sitetret
+union all
+select 'op', b.dataset, b.type, b.sitetret, 'attendances', cast(sum(r.attendances) as double) / 16
+from {op_baseline} b join {op_runs} r on b.rn = r.rn group by b.dataset, b.type, b.sitetret
+union all
+select 'op', b.dataset, b.type, b.sitetret, 'tele_attendances', cast(sum(r.tele_attendances) as double) / 16
+from {op_baseline} b join {op_runs} r on b.rn = r.rn group by b.dataset, b.type, b.sitetret
+union all
+select 'op', dataset, 'op_procedure', sitetret, 'attendances', cast(sum(attendances) as double) / 16
+from {op_conversion} group by dataset, sitetret
+union all
+select 'aae', b.dataset, b.pod, b.sitetret, b.grp, cast(sum(r.arrivals) as double) / 16
+from {aae_baseline} b join {aae_runs} r on b.rn = r.rn group by b.dataset, b.pod, b.sitetret, b.grp
+union all
+select 'aae', dataset, 'aae_type-05', sitetret, grp, cast(sum(arrivals) as double) / 16
+from {sdec_conversion} group by dataset, sitetret, grp""",
     "step_counts_old": """
 select b.dataset, 'ip' as activity_type, b.pod, l_returnflag as change_factor,
        l_linestatus as strategy, 'beddays' as measure,
@@ -202,6 +228,21 @@ from {nation}""",
 # list: the same rows, produced by exploding the run list (a scalar subquery)
 # instead of a cartesian product.
 SPARK_SQL: dict[str, str] = {
+    # one join and one aggregation that emits both measures
+    "default_old": """
+select 'scn' as scenario, dataset, pod, sitetret, measure, model_run, value from (
+  select dataset, pod, sitetret, model_run, stack(2, 'beddays', beddays, 'admissions', admissions) as (measure, value)
+  from (
+    select dataset, pod, sitetret, model_run, cast(sum(speldur + 1) as bigint) as beddays, count(*) as admissions from (
+      select dataset, pod, sitetret, 0 as model_run, speldur from {ip_baseline}
+      union all
+      select b.dataset, b.pod, b.sitetret, r.model_run, r.speldur
+      from {ip_baseline} b join {ip_runs} r on b.rn = r.rn) j
+    group by dataset, pod, sitetret, model_run) a
+  union all select 'D0', 'zero_pod', 'S00', 0, 'admissions', cast(0 as bigint)
+  union all select 'D0', 'zero_pod', 'S00', 1, 'admissions', cast(0 as bigint)
+  union all select 'D0', 'base_only', 'S00', 0, 'admissions', cast(7 as bigint)
+) t""",
     "op_runs": """
 select rn, model_run, cast((rn + model_run) % 4 as int) as attendances,
        cast((rn + 2 * model_run) % 3 as int) as tele_attendances
