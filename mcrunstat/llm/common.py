@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,19 +51,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files behind a ``stored`` frame that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = ensure_checkpoint_dir(spark)
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if "/llm/" in folder and path.toUri().getPath().startswith(
-                jvm.org.apache.hadoop.fs.Path(root).toUri().getPath()):
-            path.getFileSystem(conf).delete(path, True)
-
-
 def n_partitions(spark: SparkSession) -> int:
     """The session's shuffle parallelism, for explicit repartitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -78,8 +64,3 @@ def ascii_lower(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words of a text, null counting as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
-def pick(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Only the named columns, so that no other column of the input can clash."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])

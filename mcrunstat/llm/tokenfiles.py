@@ -27,7 +27,7 @@ from mcrunstat.llm.hasharrays import find
 from mcrunstat.llm.huffman import Code, code_lengths
 
 BLOCK_IDS, STEP, WIDTH = 1 << 16, 512, 16
-CACHED_WORDS = 3_000_000
+CACHED_WORDS = 2_000_000
 #: Between words that are encoded together; a special token of its own.
 _MARK = "<|startoftext|>"
 _TAIL = ".,!?:;*$&%#"
