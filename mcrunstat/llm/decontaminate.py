@@ -165,5 +165,27 @@ def digest(found: DataFrame) -> DataFrame:
     """The contract's columns from the result of ``search``."""
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
-        "span_start", "span_end")
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def oracle(window: int = 10) -> str:
+    """DuckDB SQL of ``digest`` over ``documents`` and ``benchmark``: every window as text."""
+    words = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+        b AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {words} AS w FROM benchmark),
+        p AS (SELECT DISTINCT item, least(len(w), {window}) AS n,
+                     array_to_string(w[i : i + least(len(w), {window}) - 1], ' ') AS g
+              FROM b, range(1, greatest(len(w) - {window - 1}, 1) + 1) t(i) WHERE len(w) > 0),
+        dn AS (SELECT d.r, d.w, s.n FROM d, (SELECT DISTINCT n FROM p) s WHERE len(d.w) >= s.n),
+        x AS (SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM dn, range(1, len(w) - n + 2) t(i)),
+        o AS (SELECT x.r, x.i, x.n, p.item FROM x JOIN p ON x.n = p.n AND x.g = p.g),
+        h AS (SELECT r, count(DISTINCT k) AS n_hit FROM o, range(i, i + n) t(k) GROUP BY r),
+        its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                FROM (SELECT DISTINCT r, item FROM o) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (r) LEFT JOIN its USING (r)
+    """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mcrunstat.llm import licenses
+from mcrunstat.llm import decontaminate, licenses
 from mcrunstat.llm.common import scratch, ship, table
 
 
@@ -55,10 +55,8 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from mcrunstat.llm.decontaminate import digest, phrases, search
-
-    known = phrases(table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return digest(search(table(spark, sf_dir, "documents", "doc_id", "text"), known))
+    known = decontaminate.phrases(table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return decontaminate.digest(decontaminate.search(table(spark, sf_dir, "documents", "doc_id", "text"), known))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +89,7 @@ QUERIES = {f.__name__: _with_code(f) for f in (op1_token_files, op2_simhash, op3
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {
     "op3_licenses": licenses.oracle(),
+    "op7_decontamination": decontaminate.oracle(),
     "op5_warc": """
         WITH p AS (
             SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages
