@@ -16,9 +16,17 @@ from mcrunstat.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Spark's default and ours: texts differ by orders of magnitude in length, and both the
+#: JVM and the worker hold whole batches.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_USUAL_BATCH, _OWN_BATCH = "67108864b", "4m"
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package's code to the workers once per context, so that tasks can import
-    it wherever the driver was started."""
+    it wherever the driver was started, and bound their batches unless the user has."""
+    if spark.conf.get(_BATCH, None) == _USUAL_BATCH:
+        spark.conf.set(_BATCH, _OWN_BATCH)
     sc = spark.sparkContext
     if getattr(sc, "_mcrunstat_sent", None) is None:
         package = Path(__file__).resolve().parent.parent

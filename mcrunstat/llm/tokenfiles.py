@@ -27,7 +27,7 @@ from mcrunstat.llm.hasharrays import find
 from mcrunstat.llm.huffman import Code, code_lengths
 
 BLOCK_IDS, STEP, WIDTH = 1 << 16, 512, 16
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 600_000
 #: Between words that are encoded together; a special token of its own.
 _MARK = "<|startoftext|>"
 _TAIL = ".,!?:;*$&%#"
@@ -277,8 +277,8 @@ def read(spark: SparkSession, folder: str, key: str = "doc_id", values: bool = T
     def run(it):
         code = Code(table)
         for b in it:
-            for lo in range(0, b.num_rows, 64):
-                part = b.slice(lo, 64).to_pydict()
+            for lo in range(0, b.num_rows, 16):
+                part = b.slice(lo, 16).to_pydict()
                 ids = code.unpack([(bits, np.frombuffer(points, "<u4"), n) for bits, points, n in zip(
                     part["bits"], part["checkpoints"], part["n"])], STEP)
                 out = []
