@@ -185,6 +185,8 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id")
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(n + 1), pa.array(small, pa.binary()), none, none],
                     [key, "n", "packed", "seen", "times"])
+        # the worker lives on: it keeps neither the tokenizer nor the words
+        _encoder.cache_clear()
         if schema is not None:
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
