@@ -61,3 +61,22 @@ def test_compare_default_keeps_null_key_cells(spark):
     df = spark.createDataFrame(rows, "dataset string, pod string, sitetret string, measure string, baseline double, mean double")
     got = compare_default(df, df, ("a", "b"))
     assert got.count() == 2 and got.where("pod is null").count() == 1
+
+
+def test_reconcile_op_reports_a_total_off_by_two(spark, monkeypatch):
+    from mcrunstat.plans import queries as Q
+    from tests.conftest import SF_SMALL
+
+    plain = Q._fx
+
+    def off_by_two(spark, sf):
+        fx = plain(spark, sf)
+        more = spark.createDataFrame([("op", "D1", "x", "x", "attendances", 2.0)], fx["default_means"].schema)
+        means = fx["default_means"].unionByName(more)
+        return type("Changed", (), {"__getitem__": lambda self, name: means if name == "default_means" else fx[name]})()
+
+    ok = {r.measure: (r.diff, r.ok) for r in Q.REGISTRY["reconcile_op"](spark, SF_SMALL).where("pair = 'match'").collect()}
+    assert ok["attendances"] == (0.0, True)
+    monkeypatch.setattr(Q, "_fx", off_by_two)
+    off = {r.measure: (r.diff, r.ok) for r in Q.REGISTRY["reconcile_op"](spark, SF_SMALL).where("pair = 'match'").collect()}
+    assert off["attendances"] == (-2.0, False) and off["tele_attendances"] == ok["tele_attendances"]
