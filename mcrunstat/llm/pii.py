@@ -1,6 +1,6 @@
 """Personal data: base patterns, and a semi-Markov field that adds spans they miss.
 
-The base spans are found by rule in every whole text.  The field works on regions, short
+The base spans are found by rule in every whole text.  The field works on regions,
 runs of tokens with a digit, an ``@`` or a spelt-out ``(at)``: it cuts a region into
 units, scores every bounded run of units that could be an entity by features of the
 whole span, and picks boundaries and types jointly.  Its spans are added where no base
@@ -13,6 +13,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from array import array
+from collections import deque
+from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +39,6 @@ _CLUE = re.compile(r"[0-9@]|[\[(](?:at|AT)[\])]")
 _REGION = re.compile(r"(?:\S*[0-9@\[(]\S*)(?:[ \t]\S*[0-9@\[(]\S*)*")
 _UNIT = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[\[(](?:at|AT|dot|DOT|\.)[\])]|.", re.S)
 _SPELT_AT, _SPELT_DOT = ("[at]", "(at)", "[AT]", "(AT)"), ("[dot]", "(dot)", "[DOT]", "(DOT)", "[.]", "(.)")
-REGION_CHARS = 4000
 
 
 def luhn(digits: str) -> bool:
@@ -76,8 +79,8 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 def _features(kind: str, span: str, left: str, right: str, units: list[str]) -> tuple[str, ...] | None:
     """Names of the features of a whole candidate span; None where it cannot be a ``kind``."""
-    digits = "".join(c for c in span if "0" <= c <= "9")
     runs = [u for u in units if u[0] in "0123456789"]
+    digits = "".join(runs)
     letters = sum(u.isalpha() and u.isascii() for u in units)
     out = [kind, f"{kind}|left {_around(left)}", f"{kind}|right {_around(right)}"]
     if kind == "email":
@@ -114,33 +117,45 @@ def _around(c: str) -> str:
     return "edge" if not c or c.isspace() else "digit" if c.isdigit() else "letter" if c.isalpha() else c
 
 
+def _steps(text: str, begin: int, end: int) -> Iterator[tuple[int, list[tuple[int, str, tuple[str, ...]]]]]:
+    """For every unit of a region its end in the text and the candidates that end there."""
+    units = ((m.group(), m.start(), m.end()) for m in _UNIT.finditer(text, begin, end))
+    near = deque(islice(units, semicrf.MOST))
+    found: deque[list] = deque([] for _ in near)
+    i = 0
+    while near:
+        ahead = list(near)
+        u, a, border = ahead[0]
+        if not u.isspace() and u[0].isascii() and (u[0].isalnum() or u[0] in "+("):
+            digits, at = 0, 0
+            for n, (last, _, b) in enumerate(ahead):
+                digits += len(last) if "0" <= last[0] <= "9" else 0
+                at += last == "@" or last in _SPELT_AT
+                if "\n" in last or digits > 60 or at > 1:
+                    break
+                if not last[-1].isalnum() or not (at or digits >= 4):
+                    continue
+                for kind in KINDS if at else KINDS[1:]:
+                    if kind == "email" or not at:
+                        f = _features(kind, text[a:b], text[a - 1: a], text[b: b + 1], [x[0] for x in ahead[:n + 1]])
+                        if f:
+                            found[n].append((i, kind, f))
+        yield border, found.popleft()
+        near.popleft()
+        for x in islice(units, 1):
+            near.append(x)
+            found.append([])
+        i += 1
+
+
 def lattice(text: str, begin: int, end: int) -> tuple[semicrf.Lattice, list[int]]:
     """Candidates of a region and the text positions of its unit borders."""
-    units = [(m.group(), m.start(), m.end()) for m in _UNIT.finditer(text, begin, end)]
-    out: semicrf.Lattice = [[] for _ in range(len(units) + 1)]
-    for i, (u, a, _) in enumerate(units):
-        if u.isspace() or not (u[0].isascii() and (u[0].isalnum() or u[0] in "+(")):
-            continue
-        digits, at = 0, 0
-        for j in range(i + 1, min(i + semicrf.MOST, len(units)) + 1):
-            last, _, b = units[j - 1]
-            digits += len(last) if "0" <= last[0] <= "9" else 0
-            at += last == "@" or last in _SPELT_AT
-            if "\n" in last or digits > 60 or at > 1:
-                break
-            if not last[-1].isalnum() or not (at or digits >= 4):
-                continue
-            for kind in KINDS if at else KINDS[1:]:
-                if kind == "email" or not at:
-                    f = _features(kind, text[a:b], text[a - 1: a], text[b: b + 1], [x[0] for x in units[i:j]])
-                    if f:
-                        out[j].append((i, kind, f))
-    return out, [begin, *[b for _, _, b in units]]
+    steps = list(_steps(text, begin, end))
+    return [[], *[ends for _, ends in steps]], [begin, *[b for b, _ in steps]]
 
 
 def _regions(text: str) -> list[tuple[int, int]]:
-    """Runs of tokens with a clue, with one token more on either side of spelt-out signs,
-    in pieces of bounded length (a piece ends at a space where it has one)."""
+    """Runs of tokens with a clue, with one token more on either side of spelt-out signs."""
     out = []
     for m in _REGION.finditer(text):
         if not _CLUE.search(text, m.start(), m.end()):
@@ -151,10 +166,6 @@ def _regions(text: str) -> list[tuple[int, int]]:
             a = max(a, m.start() - 66)
             tail = re.compile(r"(?: ?\S{1,64}){0,2}").match(text, b)
             b = tail.end() if tail else b
-        while b - a > REGION_CHARS:
-            cut = max(text.rfind(" ", a + 1, a + REGION_CHARS), a + REGION_CHARS // 2)
-            out.append((a, cut))
-            a = cut
         out.append((a, b))
     return out
 
@@ -162,9 +173,14 @@ def _regions(text: str) -> list[tuple[int, int]]:
 def model_spans(text: str, weights: dict[str, float]) -> list[tuple[int, str, int]]:
     out = []
     for a, b in _regions(text):
-        found, borders = lattice(text, a, b)
-        if any(found):
-            out += [(borders[i], t, borders[j]) for i, j, t in semicrf.viterbi(found, weights, TYPES)]
+        borders = array("q", [a])
+
+        def ends(a=a, b=b, borders=borders):
+            for border, found in _steps(text, a, b):
+                borders.append(border)
+                yield found
+
+        out += [(borders[i], t, borders[j]) for i, j, t in semicrf.decode(ends(), weights, TYPES)]
     return out
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 MOST = 24
 
@@ -25,25 +25,49 @@ def _moves(w: dict[str, float], types: Sequence[str]) -> dict[tuple[str, str], f
     return {(a, b): w.get(f"{a}>{b}", 0.0) for a in types for b in types}
 
 
-def viterbi(lattice: Lattice, w: dict[str, float], types: Sequence[str]) -> list[tuple[int, int, str]]:
-    """The best segmentation's typed segments; types[0] is outside."""
-    move, scored = _moves(w, types), _scores(lattice, w)
-    best: list[dict[str, tuple[float, int, str]]] = [{types[0]: (0.0, -1, "")}]
-    for j in range(1, len(lattice)):
+def decode(steps: Iterable[Sequence[tuple[int, str, tuple[str, ...]]]], w: dict[str, float],
+           types: Sequence[str], every: int = 1024) -> Iterator[tuple[int, int, str]]:
+    """The best segmentation's typed segments, in order; ``steps`` has the candidates of each
+    end from 1 on, and types[0] is outside.
+
+    Every ``every`` units the segments that all paths still open share are passed on and
+    forgotten, so a region of any length is decoded whole, without a cut.
+    """
+    move, out = _moves(w, types), types[0]
+    best: dict[int, dict[str, tuple[float, int, str]]] = {0: {out: (0.0, -1, "")}}
+
+    def back(j: int, t: str) -> list[tuple[int, int, str]]:
+        found = []
+        while best[j][t][1] >= 0:
+            _, i, before = best[j][t]
+            if t != out:
+                found.append((i, j, t))
+            j, t = i, before
+        return found[::-1]
+
+    j = 0
+    for j, ends in enumerate(steps, 1):
         here: dict[str, tuple[float, int, str]] = {}
-        for i, t, s in [(j - 1, types[0], 0.0), *scored[j]]:
+        for i, t, s in [(j - 1, out, 0.0), *[(i, t, sum(w.get(f, 0.0) for f in fs)) for i, t, fs in ends]]:
             top = max((v[0] + move[a, t], a) for a, v in best[i].items())
             if t not in here or top[0] + s > here[t][0]:
                 here[t] = (top[0] + s, i, top[1])
-        best.append(here)
-    out, j = [], len(lattice) - 1
-    t = max(best[j], key=lambda a: best[j][a][0])
-    while j > 0:
-        _, i, before = best[j][t]
-        if t != types[0]:
-            out.append((i, j, t))
-        j, t = i, before
-    return out[::-1]
+        best[j] = here
+        if j % every == 0:
+            open_ = {(p, t) for p in range(max(j - MOST, min(best)), j + 1) for t in best[p]}
+            while len(open_) > 1:
+                p, t = max(open_)
+                open_.remove((p, t))
+                open_.add(best[p][t][1:])
+            [(p, t)] = open_
+            yield from back(p, t)
+            best = {k: v for k, v in best.items() if k > p} | {p: {t: (best[p][t][0], -1, "")}}
+    yield from back(j, max(best[j], key=lambda a: best[j][a][0]))
+
+
+def viterbi(lattice: Lattice, w: dict[str, float], types: Sequence[str]) -> list[tuple[int, int, str]]:
+    """The best segmentation's typed segments; types[0] is outside."""
+    return list(decode(lattice[1:], w, types))
 
 
 def _add(a: float, b: float) -> float:

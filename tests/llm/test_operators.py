@@ -316,6 +316,21 @@ def test_field_finds_rewritten_forms(spark):
     assert pii.train(data.none(spark))
 
 
+def test_long_lines_are_decoded_without_a_cut(spark):
+    from mcrunstat.llm import pii, semicrf
+
+    weights = pii.train(data.none(spark))
+    rng = random.Random(4)
+    for line in (" ".join(f"(415) 555-{rng.randrange(10**4):04d}" for _ in range(1000)),
+                 " ".join(rng.choice(["a1b@host2.com", "10[.]0[.]0[.]1", "4111.1111.1111.1111", "(212) 555-0101", "7"])
+                          for _ in range(700))):
+        found, borders = pii.lattice(line, 0, len(line))
+        want = [(borders[i], t, borders[j]) for i, j, t in semicrf.viterbi(found, weights, pii.TYPES)]
+        assert len(line) > 4000 and want and pii.model_spans(line, weights) == want
+        assert list(semicrf.decode(found[1:], weights, pii.TYPES, every=7)) == list(
+            semicrf.decode(found[1:], weights, pii.TYPES, every=10**9))
+
+
 def test_field_gradient_is_that_of_the_likelihood():
     from mcrunstat.llm import pii, semicrf
 
