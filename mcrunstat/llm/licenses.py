@@ -1,12 +1,13 @@
-"""Licence scans: lines and paragraphs compared to licence templates by Dice coefficient.
-
-Only DataFrame functions.  A unit (line, or paragraph of several lines) and a template
-are bags of word bigrams after normalising (ASCII lower case, runs of other characters
-than letters and digits as one space).  Two bags of sizes a and b can reach a coefficient
-t only if b lies between a*t/(2-t) and a*(2-t)/t, so the number of words prunes the
-templates of a unit, and most units, before any bigram is made; units that share no
-bigram with any template go next.  Nothing is shuffled.  The templates are literals of
-the plan; their number is checked.
+"""Licence scans: parts of a text compared to licence templates by Dice coefficient.
+
+Only DataFrame functions.  A unit (line, sentence of a line, paragraph of several lines, or
+run of neighbouring paragraphs up to the whole text) and a template are bags of word
+bigrams after normalising (ASCII lower case, runs of other characters than letters and
+digits as one space).  Two bags of sizes a and b can reach a coefficient t only if b lies
+between a*t/(2-t) and a*(2-t)/t, and only if they share t/(2-t) of b; so a text without any
+of a few words that touch more than the rest of every template goes first, and the number of
+words prunes the templates of a unit before any bigram is made.  Nothing is shuffled.  The
+templates are literals of the plan; their number is checked.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mcrunstat.llm.common import ascii_lower
+from mcrunstat.llm.licence_texts import BODIES, NOTICES
 
-# Usual notices of public licences, by SPDX name.
+# Usual notices and whole texts of public licences, by SPDX name.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -35,7 +37,12 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    *NOTICES,
+    *BODIES,
 )
+UNITS = ("line", "sentence", "paragraph", "run")
+_BLANK = r"\n[\x20\t\r]*\n"
+_STOP = r"(?<=[.!?])[\x20\t]+(?![0-9])"
 
 
 def words_of(text: str) -> list[str]:
@@ -46,56 +53,141 @@ def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(ascii_lower(text), "[^a-z0-9]+", " "))
 
 
+def _pairs(normal: Column) -> Column:
+    w = F.split(normal, " ")
+    n = F.size(w) - 1
+    return F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _overlap(grams: Column, levels: Column) -> Column:
+    """Size of the common part of two bags: ``grams`` in order, and for every k from 0 the
+    template's bigrams that occur more than k times."""
+    # in an array of its own, so that the bag is made once and not for every bigram
+    return F.element_at(F.transform(F.array(grams), lambda own: F.aggregate(F.transform(levels, lambda level, k: F.size(
+        F.array_intersect(F.filter(own, lambda g, i: (i >= k) & (F.get(own, i - k) == g)), level))),
+        F.lit(0), lambda a, b: a + b)), 1)
+
+
+def _sums(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+
+def clue(bags: list[Counter], share: float) -> str:
+    """A pattern of words: a text in which it does not occur shares less than ``share`` of the
+    bigrams with each of the bags."""
+    words: set[str] = set()
+    for bag in sorted(bags, key=lambda b: sum(b.values())):
+        most = sum(bag.values()) * share - 1e-9
+        while (left := {g: c for g, c in bag.items() if not words & set(g)}) and sum(left.values()) >= most:
+            times = Counter()
+            for g, c in left.items():
+                for w in set(g):
+                    times[w] += c
+            words.add(max(times, key=lambda w: (len(w) >= 6, times[w], w)))
+    return "(?<![a-z0-9])(?:" + "|".join(sorted(words)) + ")(?![a-z0-9])"
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, key: str = "doc_id",
-         max_templates: int = 1000) -> DataFrame:
+         max_templates: int = 1000, units: tuple[str, ...] = ("line", "paragraph", "run")) -> DataFrame:
     """A row for every unit and template with a coefficient of ``threshold`` or more: ``key``,
-    ``unit`` (line or paragraph), ``position`` (of the line or paragraph, from 0),
-    ``license``, ``template`` (its place in the list), ``overlap``, ``n_bigrams``, ``dice``.
+    ``unit`` (of ``units``), ``position`` (of the line, also of a sentence's line, or of the
+    first paragraph, from 0), ``license``, ``template`` (its place in the list), ``overlap``,
+    ``n_bigrams``, ``dice``.
 
+    Of the runs that begin with one paragraph the best for a template is compared, and of
+    those that end with one paragraph again the best, as told by the paragraphs' own bags.
     Null and empty texts have no units with bigrams and give no row; templates of fewer
-    than two words match nothing; a paragraph of one line is that line; repeated rows are
-    scanned each on its own; an empty table gives an empty result.
+    than two words match nothing; a paragraph or sentence that is its line is that line, a run
+    has two paragraphs or more; repeated rows are scanned each on its own; an empty table
+    gives an empty result.
     """
+    if not set(units) <= set(UNITS):
+        raise ValueError(f"units are {UNITS}")
     bags = [(k, name, Counter(zip(w, w[1:]))) for k, (name, text) in enumerate(templates) for w in [words_of(text)]]
     bags = [b for b in bags if b[2]]
     if len(bags) > max_templates:
         raise ValueError(f"more than {max_templates} templates: scan them in blocks")
-    least = min((sum(b.values()) for *_, b in bags), default=1) * threshold / (2 - threshold)
-    most = max((sum(b.values()) for *_, b in bags), default=0) * (2 - threshold) / threshold
+    share = threshold / (2 - threshold)
+    least = min((sum(b.values()) for *_, b in bags), default=1) * share
+    most = max((sum(b.values()) for *_, b in bags), default=0) / share
     known = F.array(*[F.struct(
         F.lit(k).alias("template"), F.lit(name).alias("license"), F.lit(sum(b.values())).alias("size"),
-        F.lit([" ".join(g) for g in b]).alias("grams"), F.lit(list(b.values())).alias("times")) for k, name, b in bags])
-    every = F.lit(sorted({" ".join(g) for *_, b in bags for g in b}))
+        F.transform(F.split(F.lit("|".join(",".join(" ".join(g) for g, c in b.items() if c > x) for x in range(max(b.values())))),
+                            "[|]"), lambda level: F.split(level, ",")).alias("levels")) for k, name, b in bags])
+    if not bags:
+        known = F.lit(None).cast("array<struct<template:int,license:string,size:int,levels:array<array<string>>>>")
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(
-        F.lit("line").alias("unit"), i.cast("long").alias("position"), _normal(x).alias("normal")))
-    paragraphs = F.filter(F.transform(F.split(text, r"\n[\x20\t\r]*\n"), lambda x, i: F.struct(
-        F.lit("paragraph").alias("unit"), i.cast("long").alias("position"),
-        F.when(F.instr(F.btrim(x, F.lit(" \t\r\n")), "\n") > 0, _normal(x)).otherwise("").alias("normal"))),
+    able = docs.select(F.col(f"`{key}`").alias("_key"), text.alias("text")).filter(
+        ascii_lower(F.col("text")).rlike(clue([b for *_, b in bags], share)) if bags else F.lit(False))
+
+    def unit(name: str, i: Column, normal: Column) -> Column:
+        return F.struct(F.lit(name).alias("unit"), i.cast("long").alias("position"), normal.alias("normal"))
+
+    lines = F.transform(F.split("text", "\n"), lambda x, i: unit("line", i, _normal(x)))
+    sentences = F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.when(
+        x.rlike(_STOP), F.transform(F.filter(F.split(x, _STOP), lambda y: _normal(y) != _normal(x)),
+                                    lambda y: unit("sentence", i, _normal(y)))).otherwise(F.array())))
+    paragraphs = F.filter(F.transform(F.split("text", _BLANK), lambda x, i: unit(
+        "paragraph", i, F.when(F.instr(F.btrim(x, F.lit(" \t\r\n")), "\n") > 0, _normal(x)).otherwise(""))),
         lambda u: u["normal"] != "")
-    units = (docs.select(F.col(f"`{key}`").alias("_key"), F.explode(F.concat(lines, paragraphs)).alias("u"))
-             .select("_key", "u.*")
-             .withColumn("n", F.length("normal") - F.length(F.translate("normal", " ", "")))
-             .filter((F.col("n") >= 1) & (F.col("n") >= least) & (F.col("n") <= most)))
-    w = F.split("normal", " ")
-    pairs = F.zip_with(F.slice(w, F.lit(1), F.col("n")), F.slice(w, F.lit(2), F.col("n")), lambda a, b: F.concat(a, F.lit(" "), b))
-    near = units.withColumn("grams", pairs).filter(F.arrays_overlap("grams", every)) if bags else units.withColumn(
-        "grams", pairs).filter("false")
-    if not bags:
-        known = F.lit(None).cast("array<struct<template:int,license:string,size:int,grams:array<string>,times:array<int>>>")
-    fits = F.filter(known, lambda t: (t["size"] >= F.col("n") * (threshold / (2 - threshold)))
-                    & (t["size"] <= F.col("n") * ((2 - threshold) / threshold)))
-    rows = near.select("_key", "unit", "position", "n", "grams", F.explode(fits).alias("t"))
-    common = F.aggregate(
-        F.zip_with("t.grams", "t.times", lambda g, c: F.least(c, F.size(F.filter("grams", lambda x: x == g)))),
-        F.lit(0), lambda a, b: a + b)
-    scored = rows.withColumn("overlap", common.cast("long")).withColumn(
-        "dice", 2.0 * F.col("overlap") / (F.col("n") + F.col("t.size")))
+    made = [c for name, c in (("line", lines), ("sentence", sentences), ("paragraph", paragraphs)) if name in units]
+    n_bigrams = F.length("normal") - F.length(F.translate("normal", " ", ""))
+    fits = F.filter(known, lambda t: (t["size"] >= F.col("n") * share) & (t["size"] <= F.col("n") / share))
+    # a bag can share no more than the different bigrams in common and the template's repeats
+    near = F.element_at(F.transform(F.array(_pairs(F.col("normal"))), lambda own: F.filter(fits, lambda t: F.size(
+        F.array_intersect(own, F.get(t["levels"], F.lit(0)))) + t["size"] - F.size(F.get(t["levels"], F.lit(0)))
+        >= (F.col("n") + t["size"]) * (threshold / 2) - 1e-6)), 1)
+    rows = (able.select("_key", F.explode(F.concat(*made) if made else F.array(unit("line", F.lit(0), F.lit("")))).alias("u"))
+            .select("_key", "u.*").withColumn("n", n_bigrams)
+            .filter((F.col("n") >= 1) & (F.col("n") >= least) & (F.col("n") <= most))
+            .select("_key", "unit", "position", "normal", "n", F.explode(near).alias("t")))
+    if "run" in units:
+        rows = rows.unionByName(_runs(able, known, threshold).withColumn("n", n_bigrams))
+    scored = (rows.withColumn("grams", F.sort_array(_pairs(F.col("normal"))))
+              .filter(F.arrays_overlap("grams", F.get("t.levels", F.lit(0))))
+              .withColumn("overlap", _overlap(F.col("grams"), F.col("t.levels")).cast("long"))
+              .withColumn("dice", 2.0 * F.col("overlap") / (F.col("n") + F.col("t.size"))))
     return scored.filter(F.col("dice") >= threshold).select(
         F.col("_key").alias(key), "unit", "position", F.col("t.license").alias("license"),
         F.col("t.template").cast("long").alias("template"), "overlap", F.col("n").cast("long").alias("n_bigrams"), "dice")
 
 
+def _runs(able: DataFrame, known: Column, threshold: float) -> DataFrame:
+    """Runs of two or more paragraphs whose bags, with one more bigram for every border
+    between them, would reach the threshold for a template."""
+    share = threshold / (2 - threshold)
+    parts = F.filter(F.transform(F.split("text", _BLANK), lambda x, i: F.struct(
+        i.cast("long").alias("position"), _normal(x).alias("normal"))), lambda p: p["normal"] != "")
+    texts = able.filter(F.col("text").rlike(_BLANK)).select("_key", parts.alias("parts")).filter(F.size("parts") >= 2)
+    words = F.transform("parts", lambda p: F.size(F.split(p["normal"], " ")))
+    total = F.aggregate(words, F.lit(0), lambda a, b: a + b)
+    cases = (texts.withColumn("words", words).withColumn("total", total)
+             .select("_key", "parts", "words",
+                     F.explode(F.filter(known, lambda t: t["size"] * share <= F.col("total"))).alias("t"))
+             .withColumn("own", F.transform("parts", lambda p: F.size(F.array_intersect(
+                 _pairs(p["normal"]), F.get("t.levels", F.lit(0))))))
+             # few texts hold enough different bigrams of a template; only these are counted in full
+             .filter(F.aggregate("own", F.lit(0), lambda a, b: a + b) + F.size("parts") - 1
+                     >= F.col("t.size") * share - F.col("t.size") + F.size(F.get("t.levels", F.lit(0))))
+             .withColumn("bags", F.transform("parts", lambda p: _overlap(F.sort_array(_pairs(p["normal"])), F.col("t.levels")) + 1))
+             .filter(F.aggregate("bags", F.lit(0), lambda a, b: a + b) >= F.col("t.size") * share)
+             .withColumn("w", _sums(F.col("words"))).withColumn("o", _sums(F.col("bags"))))
+    last = F.size("parts")
+
+    def coefficient(i: Column, j: Column) -> Column:
+        n = F.get("w", j) - F.get("w", i) - 1
+        return 2.0 * F.least(F.get("o", j) - F.get("o", i) - 1, F.col("t.size")) / (n + F.col("t.size"))
+
+    from_each = F.transform(F.sequence(F.lit(0), last - 2), lambda i: F.array_max(F.transform(
+        F.sequence(i + 2, last), lambda j: F.struct(coefficient(i, j).alias("c"), (-j).alias("end"), i.alias("begin")))))
+    best = cases.withColumn("best", F.filter(from_each, lambda r: r["c"] >= threshold))
+    to_each = F.filter("best", lambda r: ~F.exists("best", lambda x: (x["end"] == r["end"]) & (
+        (x["c"] > r["c"]) | ((x["c"] == r["c"]) & (x["begin"] > r["begin"])))))
+    return best.select("_key", "parts", "t", F.explode(to_each).alias("r")).select(
+        "_key", F.lit("run").alias("unit"), F.get("parts.position", F.col("r.begin")).alias("position"),
+        F.concat_ws(" ", F.slice("parts.normal", F.col("r.begin") + 1, -F.col("r.end") - F.col("r.begin"))).alias("normal"), "t")
+
+
 def oracle(templates=TEMPLATES, threshold: float = 0.8) -> str:
     """DuckDB SQL of ``scan`` over ``documents``."""
     values = ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(templates))

@@ -28,7 +28,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"), units=licenses.UNITS)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,6 +205,34 @@ def test_licenses(spark):
     assert "Python" not in scan(df)._jdf.queryExecution().toString()
 
 
+def test_whole_licences_and_notices_in_longer_lines(spark):
+    from mcrunstat.llm.licence_texts import BODIES, NOTICES
+    from mcrunstat.llm.licenses import UNITS, scan, words_of
+
+    body = lambda name: next(t for n, t in BODIES if n == name)
+    gnu = next(t for n, t in NOTICES if n == "GPL-3.0")
+    mit = "The MIT License (MIT)\n\nCopyright (c) 2020 A. Body\n\n" + body("MIT")
+    texts = {1: mit, 2: "Tool\n\nSome words on it\nand more.\n\n" + mit + "\n\n" + "other words here " * 300 + "\n\n" + mit,
+             3: gnu, 4: "Read this. Released under the MIT License. See the folder for more.", 5: body("GPL-3.0"),
+             6: "word " * 400 + "\n\n" + "more words " * 300, 7: body("MIT").replace("\n", " ")}
+    found = scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), units=UNITS)
+    rows = found.collect()
+    of = lambda i, unit: [(r.license, r.position) for r in rows if (r.doc_id, r.unit) == (i, unit)]
+    assert ("MIT", 2) in of(1, "run") and {("MIT", 4), ("MIT", 10)} <= set(of(2, "run"))
+    assert ("GPL-3.0", 0) in of(3, "run") and ("GPL-3.0", 0) in of(5, "run")
+    assert of(4, "sentence") == [("MIT", 0)] and not of(4, "line") and ("MIT", 0) in of(7, "line")
+    assert not [r for r in rows if r.doc_id == 6]
+    from mcrunstat.llm.licenses import TEMPLATES
+    for r in rows:
+        if r.unit == "run":
+            w = words_of(TEMPLATES[r.template][1])
+            assert r.dice >= 0.8 and r.overlap <= min(r.n_bigrams, len(w) - 1)
+    w = words_of(gnu)
+    whole = next(r for r in rows if (r.doc_id, r.unit, r.license) == (3, "run", "GPL-3.0"))
+    assert (whole.overlap, whole.n_bigrams, whole.dice) == (len(w) - 1, len(w) - 1, 1.0)
+    assert "Python" not in found._jdf.queryExecution().toString()
+
+
 # ---- 4: repeated substrings
 
 def _repeats(rows, length):
