@@ -80,11 +80,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, train(docs, table(spark, sf_dir, "labels", "doc_id", "quality")))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), shards=40, law="rows")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.conversations import damage, repair
+
+    return repair(damage(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
 def _with_code(query):
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
-QUERIES = {f.__name__: _with_code(f) for f in (op1_token_files, op2_simhash, op3_licenses, op4_suffix_dedup, op5_warc, op6_pii, op7_decontamination, op8_mixing, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: _with_code(f) for f in (
+    op1_token_files, op2_simhash, op3_licenses, op4_suffix_dedup, op5_warc, op6_pii, op7_decontamination, op8_mixing,
+    op9_lm_scoring, op10_quality, op11_sharding, op13_conversations)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {
