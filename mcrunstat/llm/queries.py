@@ -86,6 +86,12 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), shards=40, law="rows")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mcrunstat.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mcrunstat.llm.conversations import damage, repair
 
@@ -98,12 +104,46 @@ def _with_code(query):
 
 QUERIES = {f.__name__: _with_code(f) for f in (
     op1_token_files, op2_simhash, op3_licenses, op4_suffix_dedup, op5_warc, op6_pii, op7_decontamination, op8_mixing,
-    op9_lm_scoring, op10_quality, op11_sharding, op13_conversations)}
+    op9_lm_scoring, op10_quality, op11_sharding, op12_collocations, op13_conversations)}
 
 #: DuckDB SQL of the queries that SQL expresses.
 ORACLE: dict[str, str] = {
     "op3_licenses": licenses.oracle(),
     "op7_decontamination": decontaminate.oracle(),
+    "op12_collocations": """
+        WITH pieces AS (
+            SELECT row_number() OVER () AS p, lang, ws FROM (
+                SELECT coalesce(lang, 'und') AS lang, string_split_regex(unnest(string_split_regex(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0b\f\r]')), '[ \t]+') AS ws
+                FROM documents WHERE text IS NOT NULL)
+        ), words AS (
+            SELECT p, lang, k, w FROM (SELECT p, lang, generate_subscripts(ws, 1) AS k, unnest(ws) AS w FROM pieces) WHERE w <> ''
+        ), seen AS (
+            SELECT lang, w AS w1, lead(w) OVER s AS w2, lead(w, 2) OVER s AS w3 FROM words WINDOW s AS (PARTITION BY p ORDER BY k)
+        ), f1 AS (SELECT lang, w1, count(*) AS f FROM seen GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY ALL),
+        f2 AS (SELECT lang, w1, w2, count(*) AS f FROM seen WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+        f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM seen WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+        cuts AS (
+            SELECT f2.lang, w1 || ' ' || w2 AS phrase, f2.f AS a, x.f AS l, y.f AS r, 1 AS k
+            FROM f2 JOIN f1 x USING (lang, w1) JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+            WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w1 = f2.w1 AND f3.w2 = f2.w2 AND 100 * f3.f >= 50 * f2.f)
+              AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w2 = f2.w1 AND f3.w3 = f2.w2 AND 100 * f3.f >= 50 * f2.f)
+            UNION ALL
+            SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, x.f, y.f, 1
+            FROM f3 JOIN f1 x USING (lang, w1) JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+            UNION ALL
+            SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, x.f, y.f, 2
+            FROM f3 JOIN f2 x USING (lang, w1, w2) JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3
+        ), scored AS (
+            SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase, a ORDER BY score, k) = 1
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best JOIN n USING (lang)
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+    """,
     "op5_warc": """
         WITH p AS (
             SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages

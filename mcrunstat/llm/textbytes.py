@@ -1,12 +1,15 @@
 """Vectorised views of UTF-8 text for tasks: words, lines and hashes as numpy arrays.
 
 A batch of texts is one byte buffer with offsets (Arrow's own layout).  Hashes of any
-byte range come from prefix sums of ``table[byte] * r**position`` modulo 2**64, so a
-word, a line, a k-gram or a 400-byte window costs a subtraction and a multiplication.
+byte range come from prefix sums of ``table[byte] * r**position`` modulo the prime 2**61 - 1,
+so a word, a line, a k-gram or a 400-byte window costs a subtraction and a multiplication.
+The modulus is prime because a power of two has structured collisions whatever the base
+(Thue-Morse strings); here two given strings of n bytes collide for at most n of the 2**61 bases.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,9 +26,12 @@ def _wide(n: int) -> np.ndarray:
         0, 1 << 32, n, dtype=np.uint64)
 
 
-#: Two independent byte tables and odd bases; seeded, so every worker has the same.
-TABLES = [_wide(256) | np.uint64(1), _wide(256) | np.uint64(1)]
-BASES = [int(x) | 5 for x in _wide(2)]
+#: The modulus, two independent byte tables and bases; seeded, so every worker has the same.
+PRIME = (1 << 61) - 1
+_P, _LOW = np.uint64(PRIME), np.uint64((1 << 32) - 1)
+TABLES = [_wide(256) % _P, _wide(256) % _P]
+BASES = [int(x) % PRIME for x in _wide(2)]
+_BLOCK = 1 << 14
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -33,14 +39,53 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for a and b below it, from products of halves."""
+    a0, a1, b0, b1 = a & _LOW, a >> np.uint64(32), b & _LOW, b >> np.uint64(32)
+    middle = a0 * b1
+    middle += a1 * b0
+    low = a0 * b0
+    a1 *= b1
+    a1 <<= np.uint64(3)  # 2**64 is 8
+    a1 += low & _P
+    low >>= np.uint64(61)
+    a1 += low
+    a1 += middle >> np.uint64(29)  # 2**32 * 2**29 is 1
+    middle &= np.uint64((1 << 29) - 1)
+    middle <<= np.uint64(32)
+    a1 += middle
+    return _below(a1)
+
+
+def _below(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, in place."""
+    high = x >> np.uint64(61)
+    x &= _P
+    x += high
+    np.subtract(x, _P, out=x, where=x >= _P)
+    return x
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``_times`` block by block, in the cache."""
+    out = np.empty(len(a), np.uint64)
+    for lo in range(0, len(a), _BLOCK):
+        out[lo: lo + _BLOCK] = _times(a[lo: lo + _BLOCK], b[lo: lo + _BLOCK])
+    return out
+
+
 @lru_cache(maxsize=2)
 def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    base, inverse = BASES[which], pow(BASES[which], -1, 1 << 64)
+    base = BASES[which]
     out = []
-    for b in (base, inverse):
-        p = np.full(size, b, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
+    for b in (base, pow(base, -1, PRIME)):
+        p = np.ones(size, np.uint64)
+        done, step = 1, b
+        while done < size:  # p[done + i] = p[i] * b**done
+            n = min(done, size - done)
+            p[done: done + n] = times(p[:n], np.full(n, step, np.uint64))
+            done, step = done + n, step * step % PRIME
+        out.append(p)
     return out[0], out[1]
 
 
@@ -49,25 +94,57 @@ def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(which, max(CHUNK_BYTES + 2, 1 << int(n).bit_length()))
 
 
+def release() -> None:
+    """Give memory that was freed back to the system: idle workers of a session otherwise
+    keep the peak of their last task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def mix(h: np.ndarray) -> np.ndarray:
-    """Spread the high bits over the low ones (the sums mix upwards only)."""
+    """Spread every bit over all 64."""
     h = h ^ (h >> np.uint64(32))
     h = h * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+    h = h ^ (h >> np.uint64(29))
+    h = h * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
 
 def prefix(values: np.ndarray, which: int = 0) -> np.ndarray:
     """Prefix sums from which ``ranges`` takes hashes of ranges of ``values``."""
-    p = np.empty(len(values) + 1, np.uint64)
-    p[0] = 0
-    np.cumsum(values * powers(which, len(values) + 1)[0][: len(values)], out=p[1:])
+    power = powers(which, len(values) + 1)[0]
+    p = np.zeros(len(values) + 1, np.uint64)
+    total = 0
+    for lo in range(0, len(values), _BLOCK):
+        v = _below(values[lo: lo + _BLOCK].copy())
+        v = _times(v, power[lo: lo + len(v)])
+        # sums of halves stay far below 2**64; 2**32 times the upper sum, modulo the prime
+        upper = np.cumsum(v >> np.uint64(32))
+        v = np.cumsum(v & _LOW)
+        v += upper >> np.uint64(29)
+        upper &= np.uint64((1 << 29) - 1)
+        upper <<= np.uint64(32)
+        v += upper
+        v += np.uint64(total)
+        p[lo + 1: lo + 1 + len(v)] = _below(v)
+        total = int(p[lo + len(v)])
     return p
 
 
 def ranges(p: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
     """Hash of each range [start, end); equal contents of equal length hash alike."""
     inv = powers(which, len(p))[1]
-    return mix((p[end] - p[start]) * inv[start] + (end - start).astype(np.uint64))
+    out = np.empty(len(start), np.uint64)
+    for lo in range(0, len(start), _BLOCK):
+        s, e = start[lo: lo + _BLOCK], end[lo: lo + _BLOCK]
+        sums = _below(p[e] + (_P - p[s]))
+        h = _times(sums, inv[s])
+        h ^= (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        out[lo: lo + len(s)] = mix(h)
+    return out
 
 
 def batches(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

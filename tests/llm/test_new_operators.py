@@ -190,3 +190,111 @@ def test_search_proves_the_cheapest_edits():
             assert search(bytes(codes)) == (want[5], want[6].encode())
     cost, audit = search(bytes([1, 2] * 50_000))
     assert cost == 0 and audit == b"K" * 100_000
+
+
+# ---- hashes of byte ranges
+
+def test_structured_strings_hash_apart():
+    import numpy as np
+
+    from mcrunstat.llm import textbytes as tb
+
+    flip = str.maketrans("ab", "ba")
+    t = "a"
+    for _ in range(13):
+        t += t.translate(flip)
+    b = np.frombuffer((t + t.translate(flip)).encode(), np.uint8)
+    for which in (0, 1):
+        p = tb.prefix(tb.TABLES[which][b], which)
+        for k in (64, 1024, 2048, 4096, 8192):
+            x = tb.ranges(p, np.array([0, len(t)]), np.array([k, len(t) + k]), which)
+            assert x[0] != x[1]
+        total, power = 0, 1
+        for i in range(3000):
+            assert int(p[i]) == total
+            total = (total + int(tb.TABLES[which][b[i]]) * power) % tb.PRIME
+            power = power * tb.BASES[which] % tb.PRIME
+    rng = np.random.default_rng(0)
+    b = rng.integers(97, 100, 60_000).astype(np.uint8)
+    p = tb.prefix(tb.TABLES[0][b])
+    s = rng.integers(0, 59_000, 20_000)
+    e = s + rng.integers(1, 8, len(s))
+    named = {}
+    for a, z, h in zip(s, e, tb.ranges(p, s, e).tolist()):
+        assert named.setdefault(b[a:z].tobytes(), h) == h
+    assert len(set(named.values())) == len(named)
+
+
+def test_structured_lines_are_not_duplicates(spark):
+    from mcrunstat.llm.quality import statistics
+
+    flip = str.maketrans("ab", "ba")
+    t = "a"
+    for _ in range(12):
+        t += t.translate(flip)
+    text = "\n".join(x for k in (1024, 2048, 4096) for x in (t[:k], t[:k].translate(flip)))
+    rows = spark.createDataFrame([(1, text), (2, text + "\n" + t[:1024])], "doc_id long, text string")
+    found = {r.doc_id: r.n_dup_lines for r in statistics(rows).collect()}
+    assert found == {1: 0, 2: 1}
+
+
+# ---- 12: collocations
+
+def _plain_collocations(rows, least, top, share):
+    counts, total = collections.defaultdict(collections.Counter), collections.Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            w = re.findall("[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for k in (1, 2, 3):
+                counts[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        found = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        listed = []
+        for p, a in found.items():
+            if any(len(q) > len(p) and 100 * b >= share * a and any(q[i:i + len(p)] == p for i in range(len(q)))
+                   for q, b in found.items()):
+                continue
+            s, _, left, right = min((1_000_000 * a * a // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            listed.append((-s, -a, " ".join(p).encode(), left, right))
+        out += [(lang, i + 1, p.decode(), -a, left, right, total[lang], -s)
+                for i, (s, a, p, left, right) in enumerate(sorted(listed)[:top])]
+    return sorted(out)
+
+
+def _phrases(seed=4):
+    rng = random.Random(seed)
+    vocabulary = [rng.choice("abcdé") * rng.randint(1, 3) + str(k % 7) for k in range(25)] + ["New", "york", "\x01", "x" * 400]
+    rows = []
+    for i in range(150):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(0, 60))] + ["New", "York", "city"] * rng.randint(0, 2)
+        rows.append((rng.choice(["en", "de", None, "und", ""]), "".join(w + rng.choice([" ", "  ", "\t", ". ", "\n", " ", " ", ","])
+                                                                          for w in words)))
+    rows += [("en", None), (None, ""), ("en", " .\n "), ("fr", "hot pair " * 500), ("fr", " ".join(f"of the w{k % 40}" for k in range(900)))]
+    return rows
+
+
+def test_collocations_against_plain_counts(spark, monkeypatch):
+    from mcrunstat.llm import collocations as co
+
+    rows = _phrases()
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "lang string, text string, f int, word string").repartition(3)
+    for flush in (co.FLUSH, 50):
+        monkeypatch.setattr(co, "FLUSH", flush)
+        got = sorted(tuple(r) for r in co.collocations(df, 4, 30).collect())
+        assert got == _plain_collocations(rows, 4, 30, 50)
+    none = spark.createDataFrame([], "lang string, text string")
+    assert co.collocations(none).count() == 0
+    assert co.collocations(spark.createDataFrame([(None, "a b. c")], "lang string, text string")).count() == 0
+
+
+def test_collocations_of_many_ranges(spark, monkeypatch):
+    from mcrunstat.llm import collocations as co
+
+    monkeypatch.setattr(co, "n_partitions", lambda s: 23)
+    rows = _phrases(9)
+    got = sorted(tuple(r) for r in co.collocations(spark.createDataFrame(rows, "lang string, text string"), 2, 500, 60).collect())
+    assert got == _plain_collocations(rows, 2, 500, 60)
