@@ -18,7 +18,7 @@ from ..functions.predicates import (
     op_gp_referred_first,
     op_tele_convertible,
 )
-from .measures import drop_null_keys
+from .measures import ROW_KEYS, drop_null_keys, row_keys
 
 # Output names of the outpatient cohorts (prefix, predicate).
 OP_COHORTS = (
@@ -102,12 +102,43 @@ def strategy_totals(df: DataFrame, keys: Sequence[str] = ("kind", "strategy")) -
         F.count("rn").alias("count"), F.sum("sample_rate").alias("sample_rate"))
 
 
+def cell_levels(df: DataFrame, levels: dict[str, Sequence[str]], aggs: dict[str, Column]) -> DataFrame:
+    """P5/P10: several cell definitions in one scan: ``level``, the columns of all levels (null where
+    a level has them not) and the aggregates, one row per cell of each level.
+
+    One Expand and one aggregation (grouping sets) instead of a scan per definition; rows with
+    a null in one of a level's own keys make no cell of that level (D4).
+    """
+    columns = list(dict.fromkeys(c for keys in levels.values() for c in keys))
+    names = list(levels)
+    missing = [[c not in levels[n] for c in columns] for n in names]
+    codes = [sum(m << (len(columns) - 1 - i) for i, m in enumerate(row)) for row in missing]
+    if len(set(codes)) < len(codes):
+        raise ValueError("two levels have the same keys")
+    out = df.groupingSets([[F.col(c) for c in levels[n]] for n in names], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("_level"), *[a.alias(n) for n, a in aggs.items()])
+    whole = F.lit(False)
+    for n, code in zip(names, codes):
+        own = F.col("_level") == code
+        for c in levels[n]:
+            own &= F.col(c).isNotNull()
+        whole |= own
+    level = F.coalesce(*[F.when(F.col("_level") == code, n) for n, code in zip(names, codes)])
+    return out.where(whole).select(level.alias("level"), *columns, *aggs)
+
+
 # ----------------------------------------------------------------- A15 / A18
+def _strategy_spells(strategies: DataFrame, baseline: DataFrame) -> DataFrame:
+    """J4 on the row keys that both tables carry: ``rn`` alone repeats between datasets and years."""
+    spells = baseline.select(*[c for c in ROW_KEYS if c in baseline.columns], "sitetret", "speldur")
+    return strategies.join(spells, row_keys(strategies, spells), "inner")
+
+
 def strategy_efficiencies(strategies: DataFrame, baseline: DataFrame,
-                          keys: Sequence[str] = ("dataset", "strategy", "sitetret")) -> DataFrame:
-    """J4 + A15: efficiency strategies joined to their spells."""
+                          keys: Sequence[str] = ("dataset", "fyear", "strategy", "sitetret")) -> DataFrame:
+    """J4 + A15: efficiency strategies joined to their spells, per dataset and year."""
     keys = list(keys)
-    j = strategies.join(baseline.select("rn", "dataset", "sitetret", "speldur"), "rn", "inner")
+    j = _strategy_spells(strategies, baseline)
     return drop_null_keys(j, keys).groupBy(*keys).agg(
         F.sum("speldur").cast("long").alias("speldur"),
         F.sum(F.col("speldur") + 1).cast("long").alias("beddays"),
@@ -115,10 +146,10 @@ def strategy_efficiencies(strategies: DataFrame, baseline: DataFrame,
 
 
 def strategy_avoidance(strategies: DataFrame, baseline: DataFrame,
-                       keys: Sequence[str] = ("dataset", "strategy", "sitetret")) -> DataFrame:
-    """J4 + A15: activity-avoidance strategies joined to their spells."""
+                       keys: Sequence[str] = ("dataset", "fyear", "strategy", "sitetret")) -> DataFrame:
+    """J4 + A15: activity-avoidance strategies joined to their spells, per dataset and year."""
     keys = list(keys)
-    j = strategies.join(baseline.select("rn", "dataset", "sitetret", "speldur"), "rn", "inner")
+    j = _strategy_spells(strategies, baseline)
     return drop_null_keys(j, keys).groupBy(*keys).agg(
         F.count("rn").alias("admissions"),
         F.sum("sample_rate").alias("sample_rate_sum"),

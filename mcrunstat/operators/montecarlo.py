@@ -46,6 +46,11 @@ def run_summary(per_run: DataFrame, cells: Sequence[str], n_runs: int = N_RUNS,
         F.collect_list(F.col(value).cast("double")).alias("_vals"),
         F.sum(F.col(value).cast("double")).alias("_sum"),
     )
+    return _summarised(g, cells, n_runs, all_runs_kept)
+
+
+def _summarised(g: DataFrame, cells: Sequence[str], n_runs: int, all_runs_kept: bool = False) -> DataFrame:
+    """Quantiles and mean of ``_vals`` (at most ``n_runs``) and ``_sum`` per cell."""
     have = F.size("_vals")
     bad = have > n_runs if not all_runs_kept else have != n_runs
     padded = F.when(bad, F.raise_error(F.lit(f"cell has a run count other than n_runs={n_runs}"))) \
@@ -57,6 +62,39 @@ def run_summary(per_run: DataFrame, cells: Sequence[str], n_runs: int = N_RUNS,
     return g.select(*cells, *[out[c].alias(c) for c in SUMMARY_COLUMNS])
 
 
+# ------------------------------------------------------- runs that arrive in batches
+def run_state(per_run: DataFrame, cells: Sequence[str], run: str = "model_run", value: str = "value") -> DataFrame:
+    """A5/A6 as a state that can be merged: per cell the runs seen so far with their values,
+    in run order (``runs``: array of run and value, at most one entry per run)."""
+    pair = F.struct(F.col(run).cast("long").alias("run"), F.col(value).cast("double").alias("value"))
+    return _unique_runs(per_run.groupBy(*cells).agg(F.collect_list(pair).alias("runs")), list(cells))
+
+
+def _unique_runs(g: DataFrame, cells: list[str]) -> DataFrame:
+    ids = F.transform("runs", lambda r: r["run"])
+    twice = F.size(F.array_distinct(ids)) < F.size(ids)
+    return g.select(*cells, F.when(twice, F.raise_error(F.lit("a run is in the state already")))
+                    .otherwise(F.array_sort("runs")).alias("runs"))
+
+
+def merge_states(states: Sequence[DataFrame], cells: Sequence[str]) -> DataFrame:
+    """One state of several over different runs; a run in two of them raises.  Only
+    states are read, so a new batch costs its own runs and one row per cell."""
+    both = states[0]
+    for s in states[1:]:
+        both = both.unionByName(s)
+    return _unique_runs(both.groupBy(*cells).agg(F.flatten(F.collect_list("runs")).alias("runs")), list(cells))
+
+
+def summarise_state(state: DataFrame, cells: Sequence[str], n_runs: int = N_RUNS,
+                    all_runs_kept: bool = False) -> DataFrame:
+    """``run_summary`` of the runs in a state; values are added in run order."""
+    values = F.transform("runs", lambda r: r["value"])
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0)))
+    g = state.select(*cells, F.filter(values, lambda v: v.isNotNull()).alias("_vals"), total.alias("_sum"))
+    return _summarised(g, list(cells), n_runs, all_runs_kept)
+
+
 def collect_runs(results: DataFrame, include_baseline: bool = True, run: str = "model_run",
                  value: str = "value") -> DataFrame:
     """Run 0 -> ``baseline``; other runs -> ``model_runs`` list (in run order) and

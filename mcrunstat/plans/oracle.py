@@ -277,8 +277,8 @@ from (
 
 
 # --------------------------------------------------------------- national
-def national_sample_cte(fraction: float, seed: int) -> str:
-    keep = "" if fraction >= 1 else (
+def national_sample_cte(fraction: float, seed: int, year: int | None = None) -> str:
+    keep = (f"where fyear = {year}" if year else "") if fraction >= 1 else (
         f"where ('0x' || substr(md5('{seed}:' || cast(rn as varchar)), 1, 15))::bigint"
         f" < {int(fraction * 2**60)}")
     return f"""
@@ -310,8 +310,8 @@ filled AS (
 select {k}, {stats('beddays')}, {stats('admissions')} from filled group by all"""
 
 
-def national_per_run_cte(fraction: float = 1.0) -> str:
-    return national_sample_cte(fraction, 7) + f""",
+def national_per_run_cte(fraction: float = 1.0, year: int | None = None) -> str:
+    return national_sample_cte(fraction, 7, year) + f""",
 pr AS (
   select r.model_run, {f(LOS_NATIONAL_SQL, 'r.speldur')} as los_group, s.pod, s.sushrg,
          cast(sum(r.speldur + 1) as bigint) as beddays, count(*) as admissions
@@ -470,7 +470,7 @@ from ip_baseline"""
     q["detailed_aae_standard"] = detailed_aae_sql(AAE_STD, hrg=False)
     q["detailed_aae_hrg"] = detailed_aae_sql(AAE_HRG, hrg=True)
     q["run_row_counts"] = """
-WITH r AS (select * from op_runs where model_run <> 3 and (model_run <> 5 or rn % 2 = 0)),
+WITH r AS (select * from op_runs),
 e AS (select cast(range + 1 as int) as model_run from range(16))
 select e.model_run, count(r.rn) as run_rows, (select count(*) from op_baseline) as baseline_rows,
        count(r.rn) = (select count(*) from op_baseline) as ok
@@ -479,7 +479,7 @@ from e left join r on e.model_run = r.model_run group by e.model_run"""
 WITH e AS (select cast(range + 1 as int) as model_run from range(16))
 select e.model_run, count(r.rn) as run_rows, (select count(*) from aae_baseline) as baseline_rows,
        count(r.rn) = (select count(*) from aae_baseline) as ok
-from e left join (select * from aae_runs where model_run <> 2) r on e.model_run = r.model_run group by e.model_run"""
+from e left join aae_runs r on e.model_run = r.model_run group by e.model_run"""
     av = [*IP_BY, "pod", "los_group", "sushrg"]
     q["activity_avoided"] = ("WITH " + ip_per_run_ctes(av, False, runs="ip_avoided", los=LOS_AVOIDED_SQL,
                                                        positive=False) + ","
@@ -522,7 +522,7 @@ from j"""
     q["reconcile"] = reconciled("ip", ip_per_run_ctes(IP_STD, False) + "," + summary_ctes("ipr", IP_STD + ["measure"], 256),
                                 ["beddays", "admissions"], "{c}", "trunc({c})", 1)
     q["reconcile_op"] = reconciled("op", op_per_run_ctes(False) + "," + summary_ctes("opr", OP_CELLS + ["measure"], 16),
-                                   ["attendances", "tele_attendances"], "round_even({c}, 1)", "trunc({c})", 10)
+                                   ["attendances", "tele_attendances"], "round_even({c}, 1)", "trunc({c})", 1)
     q["reconcile_aae"] = reconciled("aae", aae_per_run_ctes(AAE_STD, False) + "," + summary_ctes("aer", AAE_STD + ["measure"], 16),
                                     ["ambulance", "walk-in"], "{c}", "round_even({c}, 0)", 1)
 
@@ -659,11 +659,11 @@ select measure, round("default", 6) as "default", round(detailed, 6) as detailed
     q["mitigators_aae"] = aae_mit(["dataset", "hsagrp"])
     q["mitigators_aae_site"] = aae_mit(["dataset", "sitetret", "hsagrp"])
     q["strategy_efficiencies"] = """
-select b.dataset, s.strategy, b.sitetret, cast(sum(b.speldur) as bigint) as speldur,
+select b.dataset, b.fyear, s.strategy, b.sitetret, cast(sum(b.speldur) as bigint) as speldur,
        cast(sum(b.speldur + 1) as bigint) as beddays, count(s.rn) as admissions
 from strategies s join ip_baseline b on s.rn = b.rn where s.kind = 'ef' group by all"""
     q["strategy_avoidance"] = """
-select b.dataset, s.strategy, b.sitetret, count(s.rn) as admissions,
+select b.dataset, b.fyear, s.strategy, b.sitetret, count(s.rn) as admissions,
        round(sum(s.sample_rate), 6) as sample_rate_sum, cast(sum(b.speldur + 1) as bigint) as beddays
 from strategies s join ip_baseline b on s.rn = b.rn where s.kind = 'aa' group by all"""
 
@@ -767,4 +767,76 @@ select coalesce(d.kind, r.kind) as kind, coalesce(d.strategy, r.strategy) as str
        d.cnt - r.cnt as count_diff
 from d full join r on d.kind = r.kind and d.strategy = r.strategy"""
 
+    q.update(_stored_oracle(q))
     return {k: duckdb_with(v) for k, v in q.items()}
+
+
+def _stored_oracle(q: dict[str, str]) -> dict[str, str]:
+    """Keys over stored layouts: the same rows as the tables they were written from."""
+    ip = "rn, dataset, fyear, sitetret, age, pod, grp, tretspef, sushrg, speldur, classpat"
+    s = {
+        "layout_baseline": f"""
+select 'ip' as activity, dataset, fyear, rn, sitetret, age, pod, grp, case when fyear >= 1995 then has_procedure end as has_procedure,
+       cast(speldur as bigint) as value from ip_baseline
+union all
+select 'op', dataset, cast(2000 + rn % 3 as int), rn, sitetret, age, type, grp, null, cast(attendances as bigint) from op_baseline
+union all
+select 'aae', dataset, cast(2000 + rn % 3 as int), rn, sitetret, age, pod, grp, null, cast(arrivals as bigint) from aae_baseline""",
+        "layout_runs": "select rn, model_run, speldur, classpat from ip_runs",
+        "layout_datasets": """
+select 'ip' as activity, fyear, dataset from ip_baseline group by all
+union all select 'op', cast(2000 + rn % 3 as int), dataset from op_baseline group by all
+union all select 'aae', cast(2000 + rn % 3 as int), dataset from aae_baseline group by all""",
+        "layout_release_check": q["release_check_ip"],
+        "scan_baseline_flat": f"select {ip} from ip_baseline",
+        "listing_completeness": """
+select 'full-model-results/v4.1/' || b.dataset || '/scn/20250101_100000' as prefix, 'ok' as status,
+       count(distinct r.model_run) as runs_with_parquet, count(distinct r.model_run) = 256 as all_runs_present
+from ip_runs r join ip_baseline b on r.rn = b.rn group by b.dataset""",
+        "params_fields": """
+WITH k AS (select json_extract_string(json, '$.dataset') as dataset, json_extract_string(json, '$.scenario') as scenario,
+                  json_extract_string(json, '$.create_datetime') as create_datetime, json, unnest(json_keys(json)) as field
+           from params_json)
+select dataset, scenario, create_datetime, field,
+       case when field = 'non-demographic_adjustment' then json_extract_string(json, '$."non-demographic_adjustment".variant')
+            else json_extract_string(json, '$."' || field || '"') end as value from k""",
+        "params_upgraded": """
+WITH k AS (select json_extract_string(json, '$.dataset') as dataset, json_extract_string(json, '$.scenario') as scenario,
+                  json_extract_string(json, '$.create_datetime') as create_datetime, json, unnest(json_keys(json)) as field
+           from params_json),
+n AS (select *, json_extract(json, '$."non-demographic_adjustment"') as ndg, '$."non-demographic_adjustment"' as at from k)
+select dataset, scenario, create_datetime, field,
+       case when field <> 'non-demographic_adjustment' then json_extract_string(json, '$."' || field || '"')
+            else coalesce(json_extract_string(ndg, '$.variant'), 'ndg-test') || '/'
+                 || coalesce(json_extract_string(ndg, '$."value-type"'), 'year-on-year-growth') || '/'
+                 || cast(cast(json_extract(coalesce(json_extract(ndg, '$.values'), ndg), '$.elective[0]') as double) as varchar) end as value
+from n""",
+        "product_refresh": """
+select b.dataset, b.fyear, b.pod, cast(sum(speldur + 1) as bigint) as beddays, count(*) as admissions from ip_baseline b group by all""",
+        "runs_in_batches": q["run_summary"],
+        "reconcile_cells": "WITH " + ip_per_run_ctes(IP_STD, False) + "," + summary_ctes("ipr", IP_STD + ["measure"], 256) + """,
+det AS (select dataset, fyear, measure, sum(cast(mean as decimal(28,12))) as d from summ
+        where measure in ('beddays', 'admissions') group by all),
+src AS (select p.pair, m.dataset, m.fyear, m.measure, sum(cast(m.mean as decimal(28,12))) + max(case
+          when p.pair = 'opposite' and m.measure = 'beddays' and m.dataset = 'D0' then 5
+          when p.pair = 'opposite' and m.measure = 'beddays' and m.dataset = 'D1' then -5 else 0 end) as t
+        from default_means_year m, (values ('match'), ('opposite')) p(pair) group by all)
+select pair, dataset, fyear, measure, cast(t as double) as "default", cast(d as double) as detailed,
+       cast(d - t as double) as diff, d = t as ok
+from src join det using (dataset, fyear, measure)""",
+        "baseline_levels": """
+select 'dataset' as level, dataset, fyear, null as sitetret, null as pod, null as sushrg, count(*) as admissions,
+       cast(sum(speldur + 1) as bigint) as beddays from ip_baseline group by dataset, fyear
+union all
+select 'pod', dataset, fyear, null, pod, null, count(*), cast(sum(speldur + 1) as bigint) from ip_baseline group by dataset, fyear, pod
+union all
+select 'site', dataset, fyear, sitetret, pod, null, count(*), cast(sum(speldur + 1) as bigint)
+from ip_baseline group by dataset, fyear, sitetret, pod
+union all
+select 'hrg', dataset, fyear, null, null, sushrg, count(*), cast(sum(speldur + 1) as bigint)
+from ip_baseline where sushrg is not null group by dataset, fyear, sushrg""",
+        "national_year": national_stats_sql(national_per_run_cte(year=1995)),
+    }
+    for key in ("national_results", "national_avoided", "strategy_efficiencies", "strategy_avoidance"):
+        s[f"{key}_renumbered"] = q[key]
+    return s

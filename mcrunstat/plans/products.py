@@ -17,7 +17,7 @@ from ..operators import measures as M
 from ..operators.combine import attach_baseline
 from ..operators.montecarlo import N_RUNS, fill_missing_groups, normal_ci, run_summary
 from ..operators.suppress import suppress_small_counts
-from ..schema import HRG, STANDARD, AggConfig
+from ..schema import IP_RUN_COLUMNS, HRG, STANDARD, AggConfig
 from ..session import materialize
 from ..sources.catalog import run_completeness
 
@@ -196,12 +196,22 @@ def hash_sample(df: DataFrame, fraction: float, seed: int, key: str = "rn") -> D
 def national_sample(baseline: DataFrame, fraction: float = 1.0, seed: int = 0,
                     fyear: int | None = None) -> DataFrame:
     """F16 + F13 (+ F17): one year, every dataset relabelled ``NATIONAL``; the whole table
-    unless a smaller fraction is asked for."""
+    unless a smaller fraction is asked for.  The row's own dataset stays as ``source_dataset``,
+    because ``rn`` alone repeats between datasets."""
     df = baseline if fyear is None else baseline.where(F.col("fyear") == fyear)
+    if "dataset" in df.columns:
+        df = df.withColumn("source_dataset", F.col("dataset"))
     df = df.withColumns({"dataset": F.lit(NATIONAL), "sitetret": F.lit(NATIONAL)})
     return hash_sample(df, fraction, seed)
 
 
+def _source_rows(sample: DataFrame) -> DataFrame:
+    """The rows of a national sample under the keys that runs know them by."""
+    if "source_dataset" not in sample.columns:
+        return sample.drop("dataset")
+    return sample.withColumn("dataset", F.col("source_dataset")).drop("source_dataset")
+
+
 def national_baseline(sample: DataFrame) -> DataFrame:
     """F5 + A9: bed days and admissions per national cell (null keys kept)."""
     df = sample.withColumns({"los_group": los_national("speldur"), "beddays": F.col("speldur") + 1})
@@ -211,9 +221,9 @@ def national_baseline(sample: DataFrame) -> DataFrame:
 
 def national_per_run(sample: DataFrame, runs: DataFrame) -> DataFrame:
     """J2 + A9: baseline left-joined to runs; rows without a run are dropped (D3)."""
-    apc = sample.drop("speldur", "classpat")
-    # ``dataset`` is relabelled here, so the keys of the join are those of the source rows
-    j = apc.join(runs.select("rn", "model_run", "speldur", "classpat"), "rn", "left")
+    apc = _source_rows(sample).drop("speldur", "classpat")
+    runs = runs.select(*M.run_columns(runs, IP_RUN_COLUMNS))
+    j = apc.join(runs, M.row_keys(apc, runs), "left")
     j = j.where(F.col("model_run").isNotNull())
     j = j.withColumns({"los_group": los_national("speldur"), "beddays": F.col("speldur") + 1})
     return j.groupBy("model_run", *NATIONAL_CELLS).agg(
@@ -222,8 +232,9 @@ def national_per_run(sample: DataFrame, runs: DataFrame) -> DataFrame:
 
 def national_avoided_per_run(sample: DataFrame, avoided: DataFrame) -> DataFrame:
     """J3 + F9 + A9: avoided rows left-joined to the baseline; pod re-derived."""
-    apc = sample.drop("speldur", "classpat", "pod")
-    j = avoided.select("rn", "model_run", "speldur", "classpat").join(apc, "rn", "left")
+    apc = _source_rows(sample).drop("speldur", "classpat", "pod")
+    avoided = avoided.select(*M.run_columns(avoided, IP_RUN_COLUMNS))
+    j = avoided.join(apc, M.row_keys(avoided, apc), "left")
     j = j.withColumns({"los_group": los_national("speldur"), "beddays": F.col("speldur") + 1,
                        "pod": ip_pod_from_class()})
     return j.groupBy("model_run", *NATIONAL_CELLS).agg(

@@ -100,14 +100,16 @@ def to_aggregated_path(col: Column) -> Column:
 
 
 def run_completeness(listing: DataFrame, col: str = "path", n_runs: int | None = None,
-                     group_col: str | None = None, expected: DataFrame | None = None) -> DataFrame:
+                     group_col: str | None = None, expected: DataFrame | None = None,
+                     file_suffix: str = "/0.parquet") -> DataFrame:
     """Per listing (default: per scenario prefix of the path), are full results there?
 
     ok = some ``model_run=N/0.parquet``; otherwise the first failing check:
     flat (no directory), no ``model_run=`` directory, no parquet in one.  With
     ``n_runs`` also whether every run has its parquet file.  ``group_col`` names
     a listing id column instead of the derived prefix; ``expected`` (one column,
-    the listing id) reports listings with no files at all as flat.
+    the listing id) reports listings with no files at all as flat.  A run's file ends in
+    ``file_suffix`` (``.parquet`` for folders that Spark wrote).
     """
     p = F.col(col)
     parts = F.split(p, "/")
@@ -118,7 +120,7 @@ def run_completeness(listing: DataFrame, col: str = "path", n_runs: int | None =
         key = F.col(group_col)
     has_dir = p.contains("/")
     has_run = p.contains("/model_run=")
-    has_pq = has_run & p.endswith("/0.parquet")
+    has_pq = has_run & p.endswith(file_suffix)
     run_no = F.regexp_extract(p, r"/model_run=(\d+)/", 1)
     g = listing.groupBy(key.alias("prefix")).agg(
         F.bool_or(has_dir).alias("has_directories"),

@@ -177,6 +177,30 @@ select dataset, activity_type, pod, change_factor,
        measure, model_run,
        case when pod = 'op_procedure' then value * 3 else value end as value
 from {step_counts_old}""",
+    # rn that repeats between datasets and years, as in separately numbered extracts
+    "ip_renumbered": """
+select rn as old_rn, cast(row_number() over (partition by dataset, fyear order by rn) as bigint) as rn, dataset, fyear,
+       sitetret, age, age_group, sex, pod, grp, tretspef, sushrg, maternity_delivery_in_spell, has_procedure, speldur, classpat
+from {ip_baseline}""",
+    "ip_runs_renumbered": """
+select b.dataset, b.fyear, b.rn, r.model_run, r.speldur, r.classpat
+from {ip_runs} r join {ip_renumbered} b on r.rn = b.old_rn""",
+    "ip_avoided_renumbered": """
+select b.dataset, b.fyear, b.rn, r.model_run, r.speldur, r.classpat
+from {ip_avoided} r join {ip_renumbered} b on r.rn = b.old_rn""",
+    "strategies_renumbered": """
+select b.dataset, b.fyear, b.rn, s.kind, s.strategy, s.sample_rate
+from {strategies} s join {ip_renumbered} b on s.rn = b.old_rn""",
+    "default_means_year": """
+select dataset, fyear, pod, sitetret, 'admissions' as measure, cast(count(*) as double) / 256 as mean
+from (select b.dataset, b.fyear, b.sitetret, r.speldur, case when r.classpat = '2' then 'ip_elective_daycase' else b.pod end as pod
+      from {ip_baseline} b join {ip_runs} r on b.rn = r.rn) a
+where pod <> 'op_procedure' group by dataset, fyear, pod, sitetret
+union all
+select dataset, fyear, pod, sitetret, 'beddays', cast(sum(speldur + 1) as double) / 256
+from (select b.dataset, b.fyear, b.sitetret, r.speldur, case when r.classpat = '2' then 'ip_elective_daycase' else b.pod end as pod
+      from {ip_baseline} b join {ip_runs} r on b.rn = r.rn) a
+where pod <> 'op_procedure' group by dataset, fyear, pod, sitetret""",
     "strategies": """
 select l_orderkey as rn,
        case when l_linestatus = 'F' then 'aa' else 'ef' end as kind,

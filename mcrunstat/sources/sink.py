@@ -54,6 +54,21 @@ def write_results(df: DataFrame, base: str, sort_by: Sequence[str] | None = None
     return True
 
 
+def advance_state(batch: DataFrame, root: str, merge) -> DataFrame:
+    """Join ``batch`` to the state under ``root`` and return the new state, read back.
+
+    Each state is a folder ``version=N``; the latest complete one (``_SUCCESS``) counts, so a
+    merge that failed leaves the old state as it was.  ``merge(states)`` makes one of two.
+    """
+    spark = batch.sparkSession
+    last = 0
+    while _complete(spark, f"{root}/version={last + 1}"):
+        last += 1
+    state = merge([spark.read.parquet(f"{root}/version={last}"), batch]) if last else batch
+    state.write.mode("overwrite").parquet(f"{root}/version={last + 1}")
+    return spark.read.parquet(f"{root}/version={last + 1}")
+
+
 def output_base(root: str, scenario: str, product: str, activity: str, agg_type: str) -> str:
     """The aggregation type is part of the output name; ``root`` is the caller's, never
     the checkpoint folder."""
