@@ -10,9 +10,12 @@ whole or not at all, and its readers deal them out again.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from functools import lru_cache
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -30,84 +33,158 @@ BLOCK_IDS, STEP, WIDTH = 1 << 16, 512, 16
 CACHED_WORDS = 600_000
 #: Between words that are encoded together; a special token of its own.
 _MARK = "<|startoftext|>"
-_TAIL = ".,!?:;*$&%#"
+_TAIL, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_TAIL[[*b".,!?:;*$&%#"]] = True
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+
+def _bytes_as_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes as themselves, the others as the letters
+    after the 256th in turn."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
+_LETTERS = _bytes_as_letters()
+
+
+def _splits_at_space(tokenizer) -> bool:
+    """Whether a text's ids are those of its words in turn, words cut between letters and
+    punctuation and in lower case, as ``_Encoder`` assumes."""
+    shape = json.loads(tokenizer.to_str())
+    steps = [[s["type"] for s in (shape[k] or {}).get({"normalizer": "normalizers", "pre_tokenizer": "pretokenizers"}[k], [])]
+             for k in ("normalizer", "pre_tokenizer")]
+    if steps != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] or shape["post_processor"] is not None:
+        return False
+    split, level = shape["pre_tokenizer"]["pretokenizers"]
+    return (shape["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+            and split["pattern"] == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+            and split["invert"] and not level["add_prefix_space"] and not level["use_regex"]
+            and shape["model"]["type"] == "BPE" and not shape["model"]["dropout"]
+            and all(t["special"] and "<|" in t["content"] for t in shape["added_tokens"]))
 
 
 class _Encoder:
     """Ids of whole texts.  The tokenizer splits at white space before anything else, so a
     text's ids are those of its words in turn; each distinct word is encoded once and
     remembered by its 64-bit hash, up to a bound: a large sorted table, and a small one
-    of the newest words that joins it when it has grown."""
+    of the newest words that joins it when it has grown.  At the bound, words that no later
+    batch has asked for again are forgotten.  A tokenizer of another kind gets whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = _splits_at_space(self.tokenizer)
         self.mark = self.tokenizer.token_to_id(_MARK)
-        self._forget()
+        self._clear()
 
-    def _forget(self) -> None:
+    def _clear(self) -> None:
         self.levels = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2  # sorted hashes, their entries
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.again = np.zeros(1 << 20, bool)  # of an entry: asked for again
+
+    def _forget(self) -> None:
+        h, at = (np.concatenate(x) for x in zip(*self.levels))
+        kept = self.again[at]
+        h, (ids, size) = h[kept], self._take(at[kept])
+        self._clear()
+        if len(h) <= CACHED_WORDS // 2:
+            self._insert(h, ids, size)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and how many each has."""
+        # a lower-case Latin word is one piece of the byte-level alphabet, which the model takes as it is
+        model, out, rest = self.tokenizer.model, [], []
+        for k, w in enumerate(words):
+            if w.isalpha() and w.islower() and (w.isascii() or (max(w) < "\u0250" and is_normalized("NFC", w))):
+                if not w.isascii():
+                    w = w.encode().decode("latin-1").translate(_LETTERS)
+                out.append([t.id for t in model.tokenize(w)])
+            else:
+                out.append(None)
+                rest.append(k)
+        for k, own in zip(rest, self._marked([words[k] for k in rest])):
+            out[k] = own
+        return np.fromiter(chain.from_iterable(out), np.uint32), np.fromiter(map(len, out), np.int64, len(out))
+
+    def _marked(self, words: list[str]) -> list:
+        """Ids of any words, many to a text with a special token between them."""
         odd = [k for k, w in enumerate(words) if self.mark is None or "<|" in w]
-        alone = dict(zip(odd, (e.ids for e in self.tokenizer.encode_batch_fast(
-            [words[k] for k in odd], add_special_tokens=False))))
-        plain = ["" if k in alone else w for k, w in enumerate(words)] if odd else words
-        ids, sizes = [], []
-        for lo in range(0, len(plain), 256 * 64):
-            groups = [plain[k: k + 256] for k in range(lo, min(lo + 256 * 64, len(plain)), 256)]
-            for g, e in zip(groups, self.tokenizer.encode_batch_fast([_MARK.join(g) for g in groups], add_special_tokens=False)):
-                own = np.array(e.ids, np.uint32)
-                cuts = np.concatenate([[-1], np.flatnonzero(own == self.mark) if self.mark is not None else [], [len(own)]])
-                sizes.append(np.diff(cuts.astype(np.int64)) - 1)
-                ids.append(own[own != self.mark] if self.mark is not None else own)
-        if not odd:
-            return np.concatenate(ids), np.concatenate(sizes)
-        sizes_ = np.concatenate(sizes)
-        parts = np.split(np.concatenate(ids), np.cumsum(sizes_)[:-1])
-        for k, own in alone.items():
-            parts[k], sizes_[k] = np.array(own, np.uint32), len(own)
-        return np.concatenate(parts), sizes_
-
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        """The tokenizer lower-cases, and cuts between a letter or digit and punctuation; so
-        an ASCII word is looked up in lower case, and without the punctuation at its end."""
-        cores, tails = [], []
-        for w in words:
-            core = w.rstrip(_TAIL)
-            if not core or not core[-1].isalnum() or "<|" in w:
-                core = w
-            tails.append(w[len(core):])
-            cores.append(core.lower() if core.isascii() and "<|" not in core else core)
-        parts = sorted({*cores, *tails} - {""})
-        off = np.concatenate([[0], np.cumsum([len(x.encode()) for x in parts])])
-        data = np.frombuffer("".join(parts).encode(), np.uint8)
-        h = tb.ranges(tb.prefix(tb.TABLES[0][data]), off[:-1], off[1:])
-        new = np.flatnonzero(self._places(h) < 0)
+        out: list = [None] * len(words)
+        for k, e in zip(odd, self.tokenizer.encode_batch_fast([words[k] for k in odd], add_special_tokens=False)):
+            out[k] = e.ids
+        plain = [k for k in range(len(words)) if out[k] is None]
+        groups = [plain[k: k + 32] for k in range(0, len(plain), 32)]
+        for lo in range(0, len(groups), 512):
+            texts = [_MARK.join(words[k] for k in g) for g in groups[lo: lo + 512]]
+            for g, e in zip(groups[lo: lo + 512], self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array([*e.ids, self.mark], np.uint32)
+                ends = np.flatnonzero(ids == self.mark)
+                for k, a, b in zip(g, [0, *(ends + 1)], ends):
+                    out[k] = ids[a:b].tolist()
+        return out
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Enter the words at ``start`` to ``end`` of ``data``.
+
+        The tokenizer lower-cases, and cuts between a letter or digit and punctuation; so an
+        ASCII word is looked up in lower case, and without the punctuation at its end."""
+        size = end - start
+        stop = np.cumsum(size)
+        start = stop - size
+        raw = data[np.arange(stop[-1]) + np.repeat(end - stop, size)]
+        special = np.zeros(len(raw) + 1, np.int64)
+        special[1:-1] = np.cumsum((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+        special[-1] = special[-2]
+        odd = special[stop - 1] > special[start]
+        cut, at = stop.copy(), np.arange(len(start))
+        while len(at):
+            at = at[cut[at] > start[at]]
+            at = at[_TAIL[raw[cut[at] - 1]]]
+            cut[at] -= 1
+        last = raw[np.maximum(cut, 1) - 1]
+        apart = (cut > start) & ~odd & _ALNUM[last]
+        for k in np.flatnonzero((cut > start) & ~odd & (last >= 0x80)).tolist():
+            apart[k] = raw[start[k]: cut[k]].tobytes().decode()[-1].isalnum()
+        cut = np.where(apart, cut, stop)
+        wide = np.concatenate([[0], np.cumsum(raw >= 0x80)])
+        lower = (wide[cut] == wide[start]) & ~odd
+        own = np.where(np.repeat(lower, size), tb.LOWER[raw], raw)
+        p = tb.prefix(tb.TABLES[0][own])
+        tails = np.flatnonzero(cut < stop)
+        lo, hi = np.concatenate([start, cut[tails]]), np.concatenate([cut, stop[tails]])
+        parts, first = np.unique(tb.ranges(p, lo, hi), return_index=True)
+        known = self._places(parts)
+        self.again[known[known >= 0]] = True
+        new = np.flatnonzero(known < 0)
         if len(new):
-            self._insert(h[new], *self._ids([parts[k] for k in new]))
-        place = dict(zip(parts, self._places(h).tolist()))
-        place[""] = -1
+            text, first = own.tobytes(), first[new]
+            self._insert(parts[new], *self._ids([text[a:b].decode() for a, b in zip(lo[first].tolist(), hi[first].tolist())]))
+        place = self._places(tb.ranges(p, lo, hi))
+        pair = np.full((len(start), 2), -1, np.int64)
+        pair[:, 0], pair[tails, 1] = place[: len(start)], place[len(start):]
         rest = np.flatnonzero(self._places(hashes) < 0)
         if len(rest):
-            at = np.array([(place[cores[k]], place[tails[k]]) for k in rest], np.int64).reshape(-1)
-            ids, size = self._take(at)
+            ids, size = self._take(pair[rest].reshape(-1))
             self._insert(hashes[rest], ids, size.reshape(-1, 2).sum(1))
 
     def _take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of entries one after another, and each entry's number (-1: none)."""
         size = np.where(at >= 0, self.flat[at], 0).astype(np.int64)
         total = np.cumsum(size)
+        if not len(at):
+            return np.zeros(0, np.uint32), size
         return self.flat[np.arange(total[-1]) + np.repeat(at + 1 - (total - size), size)], size
 
     def _insert(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         need = self.used + len(ids) + len(sizes)
         if need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
+            more = max(need, len(self.flat))
+            self.flat = np.concatenate([self.flat, np.zeros(more, np.uint32)])
+            self.again = np.concatenate([self.again, np.zeros(more, bool)])
         # a word's entry: the number of its ids, then the ids
         at = np.cumsum(sizes + 1) - (sizes + 1) + self.used
         entry = np.ones(len(ids) + len(sizes), bool)
@@ -133,8 +210,14 @@ class _Encoder:
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows of a byte batch, and the number of each row's."""
-        start, end = tb.words(data, off)
         rows = len(off) - 1
+        if not self.by_word:
+            raw = data.tobytes()
+            found = self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist())],
+                                                     add_special_tokens=False)
+            return (np.concatenate([np.array(e.ids, np.uint32) for e in found]),
+                    np.array([len(e.ids) for e in found], np.int64))
+        start, end = tb.words(data, off)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
         h = tb.ranges(tb.prefix(tb.TABLES[0][data]), start, end)
@@ -142,11 +225,10 @@ class _Encoder:
         if len(self.levels[0][0]) > CACHED_WORDS:
             self._forget()
         place = self._places(unique)
+        self.again[place[place >= 0]] = True
         new = np.flatnonzero(place < 0)
         if len(new):
-            text = data.tobytes()
-            self._learn(unique[new], [text[a:b].decode() for a, b in zip(
-                start[first[new]].tolist(), end[first[new]].tolist())])
+            self._learn(unique[new], data, start[first[new]], end[first[new]])
             place[new] = self._places(unique[new])
         at = place[back]
         ids, size = self._take(at)
@@ -185,8 +267,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id")
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(n + 1), pa.array(small, pa.binary()), none, none],
                     [key, "n", "packed", "seen", "times"])
-        # the worker lives on: it keeps neither the tokenizer nor the words
-        _encoder.cache_clear()
+        tb.release()  # the worker lives on, with the tokenizer and its words
         if schema is not None:
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(

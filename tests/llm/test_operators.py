@@ -93,6 +93,39 @@ def test_words_are_encoded_as_in_their_text():
     assert out == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "other"])
+def test_ids_of_any_tokenizer_are_those_of_whole_texts(name, tmp_path):
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    from mcrunstat.llm import textbytes, tokenfiles
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    if name == "other":  # pieces of this one reach over spaces
+        other = Tokenizer.from_file(path)
+        other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+        path = str(tmp_path / "other.json")
+        other.save(path)
+    encoder = tokenfiles._Encoder(path)
+    assert encoder.by_word == (name != "other")
+    rng = random.Random(8)
+    words_ = ["straße", "naïve", "e\u0301t\u00e9", "ÉTÉ", "ﬁn", "ĳ", "ªb", "ǆ", "Σας", "x1y", "don't", "l'été.", "ŉ", "ǰ", "ab", "it's", "ß!", ""]
+    words_ += ["".join(rng.choice("abcdefghijéèàüñšçœ") for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    texts = [" ".join(rng.choice(words_) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    monkey, tokenfiles.CACHED_WORDS = tokenfiles.CACHED_WORDS, 900  # words are forgotten and learned again
+    out = []
+    try:
+        for _, _, d, off in textbytes.batches(pa.array(texts), 9_000):
+            if encoder.by_word and len(encoder.levels[1][0]) > 1500:
+                encoder.levels = [encoder.levels[1], encoder.levels[0]]
+            ids, n = encoder.encode(d, off)
+            out += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+    finally:
+        tokenfiles.CACHED_WORDS = monkey
+    assert out == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 # ---- 2: SimHash
 
 def _fingerprint(t, k=4):
