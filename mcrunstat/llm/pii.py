@@ -36,7 +36,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _CLUE = re.compile(r"[0-9@]|[\[(](?:at|AT)[\])]")
-_REGION = re.compile(r"(?:\S*[0-9@\[(]\S*)(?:[ \t]\S*[0-9@\[(]\S*)*")
+#: Whole tokens with a sign, one after another; every token is read once, without going back.
+_REGION = re.compile(r"(?<!\S)[^\s0-9@\[(]*+[0-9@\[(]\S*+(?:[ \t][^\s0-9@\[(]*+[0-9@\[(]\S*+)*+")
 _UNIT = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[\[(](?:at|AT|dot|DOT|\.)[\])]|.", re.S)
 _SPELT_AT, _SPELT_DOT = ("[at]", "(at)", "[AT]", "(AT)"), ("[dot]", "(dot)", "[DOT]", "(DOT)", "[.]", "(.)")
 
