@@ -298,3 +298,41 @@ def test_collocations_of_many_ranges(spark, monkeypatch):
     rows = _phrases(9)
     got = sorted(tuple(r) for r in co.collocations(spark.createDataFrame(rows, "lang string, text string"), 2, 500, 60).collect())
     assert got == _plain_collocations(rows, 2, 500, 60)
+
+
+# ---- 3: licences, all four units
+
+def _parts_of_licences():
+    part = lambda name, k: " ".join(f"{name}{i}" for i in range(k))
+    a, b, c = part("a", 41), part("b", 31), part("c", 31)
+    whole = " ".join((a, b, c))
+    texts = [f"{a}\n\n{b}", f"{a}\n\n{b}\n\n{a}", f"{a}\n\n{b}\n\n{c}", f"intro words\n\n{a}\n \t\n{b}\n\n{c}\n\nend", whole,
+             f"Some words first. {whole}. And after that", f"{a}\n{b}\n{c}\n\n{a}\n\n{b}", f"{b}\n\n{a}\n\n{b}\n\n{a}\n\n{c}\n\n{a}", None, "",
+             "short one\n\nshort two", "Released under the notice of ours! x. 5 y", f"{a} {a}\n\n{b}\n\n{c}",
+             "\n\n".join(whole.split()), "1. " + whole.replace("b0", "b0.  B"), f"{whole}\n\n{whole}"]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(2, texts[2], "x"), (None, texts[1], "y")]
+    return (("L", whole), ("N", "released under the notice of ours"), ("E", ""), ("W", "word")), rows
+
+
+def test_licences_equal_sql_in_all_units(spark):
+    import duckdb
+
+    from mcrunstat.llm import licenses
+
+    templates, rows = _parts_of_licences()
+    df = spark.createDataFrame(rows, "doc_id long, text string, unit string").repartition(3)
+    got = licenses.scan(df, templates, units=licenses.UNITS)
+    names = sorted(got.columns)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, unit VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    done = con.execute(licenses.oracle(templates))
+    columns = [c[0] for c in done.description]
+    assert sorted(columns) == names
+    clean = lambda x: round(x, 9) if isinstance(x, float) else x
+    rows_of = lambda rs: sorted((tuple(clean(r[n]) for n in names) for r in rs), key=repr)
+    got_rows = rows_of(r.asDict() for r in got.collect())
+    assert got_rows == rows_of(dict(zip(columns, r)) for r in done.fetchall())
+    assert {r[names.index("unit")] for r in got_rows} == set(licenses.UNITS)
+    # A B A: the run A B reaches the threshold although a longer run has a better bound
+    assert any(r["doc_id"] == 1 and r["unit"] == "run" and r["position"] == 0 for r in (x.asDict() for x in got.collect()))
