@@ -119,7 +119,7 @@ def search(docs: DataFrame, p: Phrases, carry: tuple[str, ...] = ("doc_id",), sh
     own; an empty table gives an empty result; an empty benchmark hits nothing.
     """
     def run(it):
-        for b in it:
+        for b in tb.released(it):
             for lo, hi, data, off in tb.batches(b.column("_text"), shard_bytes):
                 n = hi - lo
                 start, end, h = word_hashes(data, off)

@@ -96,7 +96,7 @@ def rules(c: np.ndarray, least_words: int = 20, most_repeat: int = 30) -> np.nda
 def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id`` with the counts and the feature vector of every whole text."""
     def run(it):
-        for b in it:
+        for b in tb.released(it):
             for lo, hi, data, off in tb.batches(b.column("text")):
                 c, x = counts(data, off)
                 yield pa.RecordBatch.from_arrays(
@@ -132,7 +132,7 @@ def judge(docs: DataFrame, model: boosting.Trees, threshold: float = 0.5, carry:
     of the input take no part unless named in ``carry``.
     """
     def run(it):
-        for b in it:
+        for b in tb.released(it):
             text = b.column("_text")
             for lo, hi, data, off in tb.batches(text):
                 c, x = counts(data, off)

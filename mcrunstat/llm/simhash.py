@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mcrunstat.llm import textbytes as tb
 from mcrunstat.llm.common import stored
 from mcrunstat.llm.components import components
 
@@ -49,7 +50,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 4, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` columns and ``fp`` (the 64 bits as a long); null text counts as empty."""
     def run(it):
-        for b in it:
+        for b in tb.released(it):
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column("_text")], np.uint64)
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in carry], pa.array(fps.view(np.int64))], [*carry, "fp"])
 

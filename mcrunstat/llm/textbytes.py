@@ -104,6 +104,12 @@ def release() -> None:
         pass
 
 
+def released(batches_: Iterator) -> Iterator:
+    """The batches of a task; after the last one, memory that was freed goes back."""
+    yield from batches_
+    release()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit over all 64."""
     h = h ^ (h >> np.uint64(32))

@@ -249,7 +249,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id")
         encoder, pack = _encoder(tokenizer), zstandard.ZstdCompressor(level=1)
         counts = np.zeros(1 << 16, np.int64)
         schema = None
-        for b in it:
+        for b in tb.released(it):
             schema = b.schema.field(0).type
             for lo, hi, data, off in tb.batches(b.column("_text")):
                 ids, n = encoder.encode(data, off)
@@ -322,7 +322,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str =
                  pa.array([points.astype("<u4").tobytes()], pa.binary()), pa.array([data], pa.binary())],
                 ["shard", "block", "first", "n", "keys", "sizes", "checkpoints", "bits"])
 
-        for b in it:
+        for b in tb.released(it):
             kind_ = b.schema.field(0).type
             for k, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 values = _from_planes(unpack.decompress(packed))
@@ -359,7 +359,7 @@ def read(spark: SparkSession, folder: str, key: str = "doc_id", values: bool = T
 
     def run(it):
         code = Code(table)
-        for b in it:
+        for b in tb.released(it):
             for lo in range(0, b.num_rows, 16):
                 part = b.slice(lo, 16).to_pydict()
                 ids = code.unpack([(bits, np.frombuffer(points, "<u4"), n) for bits, points, n in zip(
