@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections import defaultdict, deque
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -100,16 +100,85 @@ def _augment(cap: dict, source: tuple, sink: tuple) -> None:
                 path.pop()
 
 
+_CUTS = "_cuts array<struct<most:long,bucket:int,order:long,size:long,id:long>>"
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return df.hint("broadcast") if rows < 10_000 else df
+
+
+def _inside() -> Column:
+    """Is the document before one of the cuts of its pattern, and no larger than that cut takes?"""
+    place = F.struct(F.col("_bucket"), F.col("_order"), F.col("size"), F.col("_id"))
+    return F.exists("_cuts", lambda c: (F.col("size") <= c["most"]) & (
+        place <= F.struct(c["bucket"], c["order"], c["size"], c["id"])))
+
+
+def _selection(keyed: DataFrame, left: dict[str, int], near: dict[str, float]) -> tuple[dict, dict]:
+    """Which documents fill ``left`` tokens of each pattern: cuts and single documents.
+
+    A round takes, of the documents that fit the gap and were not taken, the longest run in
+    hash order that fits; the next one is larger than the new gap and drops out.  So the gap
+    about halves in a round.  A round is two aggregations over slim rows: sums of hash
+    buckets, then a running sum inside one bucket of each pattern; a row a pattern comes to
+    the driver.
+    """
+    spark = keyed.sparkSession
+    slim = keyed.filter("size > 0").select("_key", "_bucket", "_order", "size", "_id")
+    cuts: dict[str, list] = {p: [] for p in left}
+    gap, live = dict(left), set(left)
+    while live:
+        live = {p for p in live if gap[p] > near[p]}
+        if not live:
+            break
+        now = spark.createDataFrame([(p, gap[p], cuts[p]) for p in sorted(live)], f"_key string, _gap long, {_CUTS}")
+        fits = slim.join(_small(now, len(live)), "_key").filter((F.col("size") <= F.col("_gap")) & ~_inside())
+        in_order = Window.partitionBy("_key").orderBy("_bucket")
+        sums = (fits.groupBy("_key", "_bucket").agg(F.sum("size").alias("n"), F.first("_gap").alias("_gap"))
+                .withColumn("_before", F.sum("n").over(in_order) - F.col("n")))
+        over = F.col("_before") + F.col("n") > F.col("_gap")
+        found = sums.groupBy("_key").agg(F.sum("n").alias("n"), F.min(
+            F.when(over, F.struct("_bucket", "_before"))).alias("edge")).collect()
+        edges = [(r._key, r.edge._bucket, r.edge._before) for r in found if r.edge is not None]
+        for r in found:
+            if r.edge is None:  # all that fit are taken
+                cuts[r._key].append((gap[r._key], 1 << 16, 0, 0, 0))
+                gap[r._key] -= r.n
+        live = {p for p, *_ in edges}
+        if not edges:
+            break
+        edge = _small(spark.createDataFrame(edges, "_key string, _bucket int, _before long"), len(edges))
+        run = Window.partitionBy("_key").orderBy("_order", "size", "_id").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        last = (fits.join(edge, ["_key", "_bucket"]).withColumn("_sum", F.sum("size").over(run) + F.col("_before"))
+                .filter("_sum <= _gap").groupBy("_key").agg(F.max(F.struct("_sum", "_order", "size", "_id")).alias("at")))
+        ends = {r._key: r["at"] for r in last.collect()}
+        for p, bucket, before in edges:
+            at = ends.get(p)
+            cuts[p].append((gap[p], bucket, -(1 << 63), -1, -1) if at is None
+                           else (gap[p], bucket, at._order, at["size"], at._id))
+            gap[p] -= before if at is None else at._sum
+    ones: dict[str, int] = {}
+    open_ = [(p, cuts[p]) for p in sorted(gap) if gap[p] > near[p]]
+    if open_:
+        plan = _small(spark.createDataFrame(open_, f"_key string, {_CUTS}"), len(open_))
+        least = (slim.join(plan, "_key").filter(~_inside()).groupBy("_key")
+                 .agg(F.min(F.struct("size", "_order", "_id")).alias("least")))
+        ones = {r._key: r.least._id for r in least.collect() if r.least["size"] < 2 * gap[r._key]}
+    return cuts, ones
+
+
 def mix(docs: DataFrame, members: str, size: str, quotas: Callable[[dict], dict], carry: Iterable[str] = (),
-        repeats: int = 2, seed: int = 7, max_patterns: int = 100_000) -> tuple[DataFrame, dict, dict]:
+        repeats: int = 2, seed: int = 7, max_patterns: int = 100_000, near: float = 0.005) -> tuple[DataFrame, dict, dict]:
     """Documents with ``times`` (how often the mix takes them) and ``taken`` (tokens, repeats
     counted), the sizes of the sources and the quotas.
 
     ``docs`` has an array column ``members`` (sources; null is a source of its own) and a
     long column ``size`` (null: 0); ``carry`` columns pass through.  ``quotas`` gets the
     source sizes and returns tokens wanted of each.  Documents of a pattern are selected
-    in the order of a seeded hash of their carried columns; the document at the edge is
-    taken if that brings the sum nearer.  Documents of size 0 are taken 0 times their
+    in the order of a seeded hash of their carried columns; one that does not fit any more is
+    passed over and later ones are tried until at most ``near`` of the flow is open or none
+    fits, and then the smallest one left is taken if that brings the sum nearer.  Documents of size 0 are taken 0 times their
     size, repeated rows count each on its own, documents without sources stay with 0,
     and an empty table gives an empty result.
     """
@@ -120,7 +189,7 @@ def mix(docs: DataFrame, members: str, size: str, quotas: Callable[[dict], dict]
         F.array_distinct(F.col(members)).alias("_members"),
         F.coalesce(F.col(size), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in carry]).alias("_order"),
-    ).withColumn("_bucket", F.shiftrightunsigned("_order", 48).cast("int")), "mix")
+    ).withColumns({"_bucket": F.shiftrightunsigned("_order", 48).cast("int"), "_id": F.monotonically_increasing_id()}), "mix")
     found = rows.groupBy("_pattern").agg(F.first("_members").alias("m"), F.sum("size").alias("n")).limit(
         max_patterns + 1).collect()
     if len(found) > max_patterns:
@@ -133,30 +202,16 @@ def mix(docs: DataFrame, members: str, size: str, quotas: Callable[[dict], dict]
     patterns = [(r.m or (), r.n) for r in sorted(found, key=lambda r: r._pattern or "")]
     names = sorted((r._pattern or "" for r in found))
     flows = route(patterns, {s: round(q) for s, q in wanted.items()}, repeats)
-    plan = spark.createDataFrame(
-        [(p, f // n if n else 0, f % n if n else 0) for p, f, (_, n) in zip(names, flows, patterns)],
-        "_key string, _passes long, _rest long")
-    # the edge of the rest: first by sums of hash buckets, then inside one bucket only
     keyed = rows.withColumn("_key", F.coalesce("_pattern", F.lit("")))
-    in_order = Window.partitionBy("_key").orderBy("_bucket")
-    sums = (keyed.groupBy("_key", "_bucket").agg(F.sum("size").alias("n"))
-            .withColumn("_before", F.sum("n").over(in_order) - F.col("n")))
-    edge = (sums.join(plan.hint("broadcast") if len(found) < 10_000 else plan, "_key")
-            .filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("n") >= F.col("_rest")))
-            .select("_key", F.col("_bucket").alias("_edge"), "_before"))
-    plan = plan.join(stored(edge, "mix-edge"), "_key", "left")
-    dealt = keyed.join(plan.hint("broadcast") if len(found) < 10_000 else plan, "_key")
-    # no rest: no edge, and only whole passes
-    inside = F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(False))
-    at = F.coalesce(F.col("_bucket") == F.col("_edge"), F.lit(False))
-    near = Window.partitionBy("_key").orderBy("_order", "size", *[F.col(f"`{c}`") for c in carry]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    last = (dealt.filter(at).withColumn("_sum", F.sum("size").over(near) + F.col("_before"))
-            .withColumn("_more", (2 * F.col("_sum") - F.col("size") <= 2 * F.col("_rest")).cast("long")).drop("_sum"))
-    rest = dealt.filter(~at).withColumn("_more", inside.cast("long"))
-    out = rest.unionByName(last).select(
+    left = {p: f % n for p, f, (_, n) in zip(names, flows, patterns) if n and f % n}
+    cuts, ones = _selection(keyed, left, {p: near * f for p, f in zip(names, flows)})
+    plan = spark.createDataFrame([(p, f // n if n else 0, cuts.get(p, []), ones.get(p))
+                                  for p, f, (_, n) in zip(names, flows, patterns)], f"_key string, _passes long, {_CUTS}, _one long")
+    dealt = keyed.join(_small(plan, len(found)), "_key")
+    times = F.col("_passes") + (_inside() | F.coalesce(F.col("_id") == F.col("_one"), F.lit(False))).cast("long")
+    out = dealt.withColumn("times", times).select(
         *[F.col(f"`{c}`") for c in carry], F.col("_members").alias("members"), "size",
-        (F.col("_passes") + F.col("_more")).alias("times"), ((F.col("_passes") + F.col("_more")) * F.col("size")).alias("taken"))
+        "times", (F.col("times") * F.col("size")).alias("taken"))
     return out, dict(sizes), wanted
 
 
