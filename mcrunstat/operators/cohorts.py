@@ -29,19 +29,24 @@ OP_COHORTS = (
 OP_TELE_PREFIX = "convert_to_tele"
 
 
+def _keys(df: DataFrame, keys: Sequence[str] | None, own: Sequence[str]) -> list[str]:
+    """The given keys; by default the dataset and, where the table has it, the year before ``own``."""
+    return list(keys) if keys is not None else [c for c in ("dataset", "fyear") if c in df.columns] + list(own)
+
+
 def _csum(pred: Column, col: str) -> Column:
     return F.sum(F.when(pred, F.col(col)))
 
 
-def op_mitigators(df: DataFrame, keys: Sequence[str] = ("dataset", "type"),
-                  site_form: bool = False) -> DataFrame:
-    """Outpatient mitigator cohorts per key.
+def op_mitigators(df: DataFrame, keys: Sequence[str] | None = None, site_form: bool = False) -> DataFrame:
+    """Outpatient mitigator cohorts per key, by default per dataset, year (where the table has
+    it), site (site form) and type.
 
     Dataset form: tele conversion counts attendances only and a cohort without
     rows for a key is null.  Site form: tele conversion also counts
     tele-attendances and gaps are 0.  A key present in no cohort is not reported.
     """
-    keys = list(keys)
+    keys = _keys(df, keys, ("sitetret", "type") if site_form else ("type",))
     df = drop_null_keys(df, keys)
     tele = op_tele_convertible()
     aggs = [_csum(tele, "attendances").alias(f"{OP_TELE_PREFIX}_attendances")]
@@ -63,10 +68,11 @@ def op_mitigators(df: DataFrame, keys: Sequence[str] = ("dataset", "type"),
     return g
 
 
-def aae_mitigators(df: DataFrame, keys: Sequence[str] = ("dataset", "hsagrp"),
-                   value: str = "arrivals") -> DataFrame:
-    """Arrivals per A&E flag for every key group; 0 when no row has the flag."""
-    keys = list(keys)
+def aae_mitigators(df: DataFrame, keys: Sequence[str] | None = None, value: str = "arrivals",
+                   site_form: bool = False) -> DataFrame:
+    """Arrivals per A&E flag for every key group, by default per dataset, year (where the table
+    has it), site (site form) and group; 0 when no row has the flag."""
+    keys = _keys(df, keys, ("sitetret", "hsagrp") if site_form else ("hsagrp",))
     df = drop_null_keys(df, keys)
     return df.groupBy(*keys).agg(*[
         F.coalesce(_csum(F.col(flag), value), F.lit(0)).cast("long").alias(flag)
@@ -156,23 +162,20 @@ def strategy_avoidance(strategies: DataFrame, baseline: DataFrame,
         F.sum(F.col("speldur") + 1).cast("long").alias("beddays"))
 
 
-def detailed_baseline_ip(df: DataFrame, keys: Sequence[str] = (
-        "dataset", "fyear", "sitetret", "grp", "pod", "tretspef")) -> DataFrame:
-    """A18 ip."""
-    keys = list(keys)
+def detailed_baseline_ip(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """A18 ip, per dataset, year (where the table has it) and cell."""
+    keys = _keys(df, keys, ("sitetret", "grp", "pod", "tretspef"))
     return drop_null_keys(df, keys).groupBy(*keys).agg(
         F.count("rn").alias("admissions"),
         F.sum(F.col("speldur") + 1).cast("long").alias("beddays"),
         F.sum("speldur").cast("long").alias("speldur"))
 
 
-def detailed_baseline_op(df: DataFrame, keys: Sequence[str] = (
-        "dataset", "sitetret", "grp", "tretspef", "type")) -> DataFrame:
-    """A18 op."""
-    return op_pod_totals(df, keys)
+def detailed_baseline_op(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """A18 op, per dataset, year (where the table has it) and cell."""
+    return op_pod_totals(df, _keys(df, keys, ("sitetret", "grp", "tretspef", "type")))
 
 
-def detailed_baseline_aae(df: DataFrame, keys: Sequence[str] = (
-        "dataset", "sitetret", "hsagrp", "aedepttype", "attendance_category")) -> DataFrame:
-    """A18 aae."""
-    return aae_pod_totals(df, keys)
+def detailed_baseline_aae(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """A18 aae, per dataset, year (where the table has it) and cell."""
+    return aae_pod_totals(df, _keys(df, keys, ("sitetret", "hsagrp", "aedepttype", "attendance_category")))

@@ -539,11 +539,11 @@ from op_baseline group by all"""
 select dataset, sitetret, hsagrp, aedepttype, attendance_category, cast(sum(arrivals) as bigint) as arrivals
 from aae_baseline group by all"""
 
-    ipk = ["dataset", "sitetret", "custom_age_groups", "custom_los_groups", "tretspef", "pod",
+    ipk = ["dataset", "fyear", "sitetret", "custom_age_groups", "custom_los_groups", "tretspef", "pod",
            "maternity_delivery_in_spell"]
     q["custom_baseline_ip"] = f"""
 WITH b AS (
-  select dataset, sitetret, {f(AGE_CUSTOM_SQL, 'age')} as custom_age_groups,
+  select dataset, fyear, sitetret, {f(AGE_CUSTOM_SQL, 'age')} as custom_age_groups,
          {f(LOS_CUSTOM_SQL, 'speldur')} as custom_los_groups, tretspef,
          case when classpat = '2' then 'ip_elective_daycase' else pod end as pod,
          maternity_delivery_in_spell, speldur + 1 as beddays, has_procedure
@@ -557,13 +557,15 @@ cells AS (
     union all select {", ".join(ipk)}, 'beddays', cast(beddays as bigint) from a
     union all select {", ".join(ipk)}, 'procedures', cast(procedures as bigint) from a
   ) t where value > 0
-)""" + suppress_sql("cells", ipk + ["measure"], ["dataset", "pod", "measure"])
-    opk = ["dataset", "sitetret", "custom_age_groups", "tretspef", "pod"]
-    q["custom_baseline_op"] = f"""
+)""" + suppress_sql("cells", ipk + ["measure"], ["dataset", "fyear", "pod", "measure"])
+
+    def custom_op(table: str, by: list[str]) -> str:
+        opk = [*by, "sitetret", "custom_age_groups", "tretspef", "pod"]
+        return f"""
 WITH b AS (
-  select dataset, sitetret, {f(AGE_CUSTOM_SQL, 'age')} as custom_age_groups, tretspef,
+  select {", ".join(by)}, sitetret, {f(AGE_CUSTOM_SQL, 'age')} as custom_age_groups, tretspef,
          {OP_POD_SQL.format(p='')} as pod, attendances, tele_attendances
-  from op_baseline
+  from {table}
 ),
 cells AS (
   select {", ".join(opk)}, 'attendances' as measure, cast(sum(attendances) as bigint) as value
@@ -571,22 +573,29 @@ cells AS (
   union all
   select {", ".join(opk)}, 'tele_attendances', cast(sum(tele_attendances) as bigint)
   from b where {notnull(opk)} group by all
-)""" + suppress_sql("cells", opk + ["measure"], ["dataset", "pod"])
-    aek = ["dataset", "sitetret", "pod", "custom_age_groups", "aedepttype", "acuity"]
-    q["custom_baseline_aae"] = f"""
+)""" + suppress_sql("cells", opk + ["measure"], [*by, "pod"])
+
+    def custom_aae(table: str, by: list[str]) -> str:
+        aek = [*by, "sitetret", "pod", "custom_age_groups", "aedepttype", "acuity"]
+        return f"""
 WITH b AS (
-  select dataset, sitetret, pod, {f(AGE_CUSTOM_SQL, 'age')} as custom_age_groups, aedepttype, acuity,
+  select {", ".join(by)}, sitetret, pod, {f(AGE_CUSTOM_SQL, 'age')} as custom_age_groups, aedepttype, acuity,
          case when is_ambulance then 'ambulance' else 'walk-in' end as measure, arrivals
-  from aae_baseline
+  from {table}
 ),
 cells AS (select {", ".join(aek)}, measure, cast(sum(arrivals) as bigint) as value
           from b where {notnull(aek + ['measure'])} group by all)""" + suppress_sql(
-        "cells", aek + ["measure"], ["dataset", "pod"])
+            "cells", aek + ["measure"], [*by, "pod"])
+
+    q["custom_baseline_op"] = custom_op("op_baseline", ["dataset"])
+    q["custom_baseline_aae"] = custom_aae("aae_baseline", ["dataset"])
     customs = {a: q[f"custom_baseline_{a}"] for a in ("ip", "op", "aae")}
 
     def stacked(parts: dict[str, str]) -> str:
         return " union all by name ".join(f"select *, '{a}' as activity from ({sql}) {a}_x" for a, sql in parts.items())
 
+    q["custom_baseline_years"] = stacked({
+        "ip": q["custom_baseline_ip"], "op": custom_op("op_years", IP_BY), "aae": custom_aae("aae_years", IP_BY)})
     q["pipeline_standard"] = f"WITH {done.strip()} select * from ({stacked(customs)}) t where dataset in (select dataset from done)"
     sited = {a: sql.replace(f"from {a}_baseline", f"from (select * from {a}_baseline where sitetret in ({s})) w")
              for (a, sql), s in zip(customs.items(), ["'S00', 'S03'", "'S01'", "select sitetret from aae_baseline"])}
@@ -627,7 +636,7 @@ select measure, round("default", 6) as "default", round(detailed, 6) as detailed
        round(detailed - "default", 6) as diff, abs(detailed - "default") <= 1e-6 as ok from j"""
 
     # ----------------------------------------------------------- cohorts
-    def op_mit(keys: list[str], site: bool) -> str:
+    def op_mit(keys: list[str], site: bool, table: str = "op_baseline") -> str:
         k = ", ".join(keys)
         def cs(pred: str, col: str, alias: str) -> str:
             e = f"sum(case when {pred} then {col} end)"
@@ -643,21 +652,32 @@ select measure, round("default", 6) as "default", round(detailed, 6) as detailed
                            ("followup_reduction", fu)):
             cols += [cs(pred, "attendances", f"{name}_attendances"),
                      cs(pred, "tele_attendances", f"{name}_tele_attendances")]
-        return (f"select {k}, {', '.join(cols)} from op_baseline where {notnull(keys)} group by all "
+        return (f"select {k}, {', '.join(cols)} from {table} where {notnull(keys)} group by all "
                 f"having bool_or({tele} or {gp} or {cons} or {fu})")
 
     q["mitigators_op"] = op_mit(["dataset", "type"], False)
     q["mitigators_op_site"] = op_mit(["dataset", "sitetret", "type"], True)
 
-    def aae_mit(keys: list[str]) -> str:
+    def aae_mit(keys: list[str], table: str = "aae_baseline") -> str:
         flags = ["is_discharged_no_treatment", "is_frequent_attender", "is_left_before_treatment",
                  "is_low_cost_referred_or_discharged"]
         cols = ", ".join(f"cast(coalesce(sum(case when {x} then arrivals end), 0) as bigint) as {x}"
                          for x in flags)
-        return f"select {', '.join(keys)}, {cols} from aae_baseline where {notnull(keys)} group by all"
+        return f"select {', '.join(keys)}, {cols} from {table} where {notnull(keys)} group by all"
 
     q["mitigators_aae"] = aae_mit(["dataset", "hsagrp"])
     q["mitigators_aae_site"] = aae_mit(["dataset", "sitetret", "hsagrp"])
+    q["mitigators_op_years"] = op_mit([*IP_BY, "type"], False, "op_years")
+    q["mitigators_op_site_years"] = op_mit([*IP_BY, "sitetret", "type"], True, "op_years")
+    q["mitigators_aae_years"] = aae_mit([*IP_BY, "hsagrp"], "aae_years")
+    q["mitigators_aae_site_years"] = aae_mit([*IP_BY, "sitetret", "hsagrp"], "aae_years")
+    yk = [*IP_BY, "sitetret", "grp", "tretspef", "type"]
+    q["baseline_op_years"] = f"""
+select {", ".join(yk)}, cast(sum(attendances) as bigint) as attendances,
+       cast(sum(tele_attendances) as bigint) as tele_attendances from op_years where {notnull(yk)} group by all"""
+    yk = [*IP_BY, "sitetret", "hsagrp", "aedepttype", "attendance_category"]
+    q["baseline_aae_years"] = f"""
+select {", ".join(yk)}, cast(sum(arrivals) as bigint) as arrivals from aae_years where {notnull(yk)} group by all"""
     q["strategy_efficiencies"] = """
 select b.dataset, b.fyear, s.strategy, b.sitetret, cast(sum(b.speldur) as bigint) as speldur,
        cast(sum(b.speldur + 1) as bigint) as beddays, count(s.rn) as admissions

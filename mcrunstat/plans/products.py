@@ -129,38 +129,42 @@ CUSTOM_OP_KEYS = ("sitetret", "custom_age_groups", "tretspef", "pod")
 CUSTOM_AAE_KEYS = ("sitetret", "pod", "custom_age_groups", "aedepttype", "acuity")
 
 
-def custom_baseline_ip(baseline: DataFrame, by: Sequence[str] = ("dataset",),
+def custom_baseline_ip(baseline: DataFrame, by: Sequence[str] | None = None,
                        sites: Sequence[str] = ("ALL",)) -> DataFrame:
-    """A20 + A21 ip: custom bands, positive cells, suppressed by (pod, measure)."""
+    """A20 + A21 ip: custom bands, positive cells per dataset and year, suppressed by (pod, measure)."""
+    by = by_columns(baseline, by)
     df = M.filter_sites(baseline, sites)
     df = M.ip_measures(df.withColumn("custom_age_groups", age_custom("age")), los_custom)
     df = df.withColumnRenamed("los_group", "custom_los_groups")
-    keys = list(by) + list(CUSTOM_IP_KEYS)
+    keys = by + list(CUSTOM_IP_KEYS)
     df = M.drop_null_keys(df, keys)
     totals = df.groupBy(*keys).agg(*[F.sum(m).cast("long").alias(m) for m in M.IP_MEASURES])
     cells = totals.unpivot(keys, list(M.IP_MEASURES), "measure", "value").where(F.col("value") > 0)
-    return suppress_small_counts(cells, keys + ["measure"], list(by) + ["pod", "measure"])
+    return suppress_small_counts(cells, keys + ["measure"], by + ["pod", "measure"])
 
 
-def custom_baseline_op(baseline: DataFrame, by: Sequence[str] = ("dataset",),
+def custom_baseline_op(baseline: DataFrame, by: Sequence[str] | None = None,
                        sites: Sequence[str] = ("ALL",)) -> DataFrame:
-    """A20 + A21 op: suppressed by pod."""
+    """A20 + A21 op: per dataset and, where the table has it, year; suppressed by pod."""
+    by = by_columns(baseline, by)
     df = M.filter_sites(baseline, sites).withColumns(
         {"pod": op_pod(), "custom_age_groups": age_custom("age")})
-    keys = list(by) + list(CUSTOM_OP_KEYS)
+    keys = by + list(CUSTOM_OP_KEYS)
     cells = M.op_cell_values(df, keys, run=None)
-    return suppress_small_counts(cells, keys + ["measure"], list(by) + ["pod"])
+    return suppress_small_counts(cells, keys + ["measure"], by + ["pod"])
 
 
-def custom_baseline_aae(baseline: DataFrame, by: Sequence[str] = ("dataset",),
+def custom_baseline_aae(baseline: DataFrame, by: Sequence[str] | None = None,
                         sites: Sequence[str] = ("ALL",)) -> DataFrame:
-    """A20 + A21 aae: null acuity cells drop out (no ``unknown`` fill here)."""
+    """A20 + A21 aae, per dataset and, where the table has it, year: null acuity cells drop out
+    (no ``unknown`` fill here)."""
+    by = by_columns(baseline, by)
     df = M.filter_sites(baseline, sites).withColumns(
         {"measure": aae_measure(), "custom_age_groups": age_custom("age")})
-    keys = list(by) + list(CUSTOM_AAE_KEYS)
+    keys = by + list(CUSTOM_AAE_KEYS)
     df = M.drop_null_keys(df, keys + ["measure"])
     cells = df.groupBy(*keys, "measure").agg(F.sum("arrivals").cast("long").alias("value"))
-    return suppress_small_counts(cells, keys + ["measure"], list(by) + ["pod"])
+    return suppress_small_counts(cells, keys + ["measure"], by + ["pod"])
 
 
 # ------------------------------------------------------------------ P7
@@ -288,9 +292,10 @@ def pipeline_hrg_baseline(fx, listing: DataFrame, scenario: str,
     ``activity`` column, for the datasets of which all runs are there.
 
     The others leave by a semi-join on the baselines and conversions, below every other
-    join, so nothing is computed for them and nothing is decided on the driver.
+    join, so nothing is computed for them and nothing is decided on the driver.  Five plans
+    need the list of complete datasets, so it is written once when this is called.
     """
-    done = complete_datasets(listing, scenario, n_runs_ip)
+    done = materialize(complete_datasets(listing, scenario, n_runs_ip))
 
     def only(name: str) -> DataFrame:
         return fx[name].join(done, "dataset", "left_semi")
@@ -314,7 +319,8 @@ def custom_baselines(ip: DataFrame, op: DataFrame, aae: DataFrame, sites: dict[s
 
 def pipeline_standard(fx, listing: DataFrame, scenario: str, n_runs_ip: int = N_RUNS,
                       sites: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """P12, standard branch: the custom baselines of the datasets with complete results."""
-    done = complete_datasets(listing, scenario, n_runs_ip)
+    """P12, standard branch: the custom baselines of the datasets with complete results, the list
+    of which is written once when this is called."""
+    done = materialize(complete_datasets(listing, scenario, n_runs_ip))
     tables = (fx[f"{a}_baseline"].join(done, "dataset", "left_semi") for a in ("ip", "op", "aae"))
     return custom_baselines(*tables, sites)

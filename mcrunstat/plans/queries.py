@@ -378,6 +378,21 @@ def q_strat_aa(spark, sf):
     return rounded(C.strategy_avoidance(fx["strategies"].where(F.col("kind") == "aa"), fx["ip_baseline"]))
 
 
+# Years of one table are kept apart by default wherever it has them.
+REGISTRY["baseline_op_years"] = lambda spark, sf: C.detailed_baseline_op(_fx(spark, sf)["op_years"])
+REGISTRY["baseline_aae_years"] = lambda spark, sf: C.detailed_baseline_aae(_fx(spark, sf)["aae_years"])
+REGISTRY["mitigators_op_years"] = lambda spark, sf: C.op_mitigators(_fx(spark, sf)["op_years"])
+REGISTRY["mitigators_op_site_years"] = lambda spark, sf: C.op_mitigators(_fx(spark, sf)["op_years"], site_form=True)
+REGISTRY["mitigators_aae_years"] = lambda spark, sf: C.aae_mitigators(_fx(spark, sf)["aae_years"])
+REGISTRY["mitigators_aae_site_years"] = lambda spark, sf: C.aae_mitigators(_fx(spark, sf)["aae_years"], site_form=True)
+
+
+@query("custom_baseline_years")
+def q_custom_years(spark, sf):
+    fx = _fx(spark, sf)
+    return P.custom_baselines(fx["ip_baseline"], fx["op_years"], fx["aae_years"])
+
+
 # ------------------------------------------------------------ comparisons
 @query("compare_results")
 def q_compare_results(spark, sf):

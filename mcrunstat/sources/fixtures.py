@@ -201,6 +201,11 @@ select dataset, fyear, pod, sitetret, 'beddays', cast(sum(speldur + 1) as double
 from (select b.dataset, b.fyear, b.sitetret, r.speldur, case when r.classpat = '2' then 'ip_elective_daycase' else b.pod end as pod
       from {ip_baseline} b join {ip_runs} r on b.rn = r.rn) a
 where pod <> 'op_procedure' group by dataset, fyear, pod, sitetret""",
+    # outpatients and A&E of several years in one table
+    "op_years": """
+select *, cast(2019 + rn % 3 as int) as fyear from {op_baseline}""",
+    "aae_years": """
+select *, cast(2019 + rn % 4 as int) as fyear from {aae_baseline}""",
     "strategies": """
 select l_orderkey as rn,
        case when l_linestatus = 'F' then 'aa' else 'ef' end as kind,
