@@ -635,6 +635,22 @@ j AS (select coalesce(a.measure, b.measure) as measure, coalesce(a."default", 0)
 select measure, round("default", 6) as "default", round(detailed, 6) as detailed,
        round(detailed - "default", 6) as diff, abs(detailed - "default") <= 1e-6 as ok from j"""
 
+    # means over a fixed number of runs add up to totals over the runs
+    q["national_reconcile_years"] = """
+WITH det AS (
+  select b.fyear, 'admissions' as measure, count(*) / 256 as t from ip_baseline b join ip_runs r on b.rn = r.rn
+  where starts_with(b.pod, 'ip_') and b.fyear in (1995, 1996) group by all
+  union all
+  select b.fyear, 'beddays', sum(r.speldur + 1) / 256 from ip_baseline b join ip_runs r on b.rn = r.rn
+  where starts_with(b.pod, 'ip_') and b.fyear in (1995, 1996) group by all),
+dft AS (
+  select p.pair, case when p.pair = 'match' then fyear else 3991 - fyear end as fyear, measure, sum(mean) as t
+  from default_means_national, (values ('match'), ('other_year')) p(pair)
+  where starts_with(pod, 'ip_') and fyear in (1995, 1996) group by all)
+select pair, fyear, measure, round(dft.t, 6) as "default", round(det.t, 6) as detailed,
+       round(det.t - dft.t, 6) as diff, abs(det.t - dft.t) <= 1e-6 as ok
+from dft join det using (fyear, measure)"""
+
     # ----------------------------------------------------------- cohorts
     def op_mit(keys: list[str], site: bool, table: str = "op_baseline") -> str:
         k = ", ".join(keys)

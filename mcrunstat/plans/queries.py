@@ -31,6 +31,7 @@ from . import products as P
 
 ROUND = 6
 N_OTHER = 16          # runs in the op/aae fixtures
+NATIONAL_YEARS = (1995, 1996)
 NATIONAL_SEED = 7
 SAMPLE_FRACTION = 0.01
 SITES_ARG = "s00,S03"  # F1 argument as a user types it
@@ -345,6 +346,28 @@ def q_national_reconcile(spark, sf):
     return rounded(K.reconcile(nat_long, dft, ["admissions", "beddays"], rule="exact", tolerance=1e-6))
 
 
+@query("national_reconcile_years")
+def q_national_reconcile_years(spark, sf):
+    """C5 per year over equal populations: the national product of two years against the
+    aggregated results of the same rows and pods, and against those of the other year."""
+    fx = _fx(spark, sf)
+    by_year = None
+    for year in NATIONAL_YEARS:
+        sample = P.national_sample(fx["ip_baseline"], seed=NATIONAL_SEED, fyear=year)
+        nat = P.national_results(sample, fx["ip_runs"]).where(F.col("pod").startswith("ip_"))
+        nat = nat.select(F.lit(year).alias("fyear"), F.inline(F.array(*[
+            F.struct(F.lit(m).alias("measure"), F.col(f"mean_{m}").alias("mean")) for m in ("admissions", "beddays")])))
+        by_year = nat if by_year is None else by_year.unionByName(nat)
+    default = fx["default_means_national"].where(F.col("pod").startswith("ip_") & F.col("fyear").isin(*NATIONAL_YEARS))
+    pairs = F.explode(F.array(F.lit("match"), F.lit("other_year")))
+    default = default.withColumn("pair", pairs).withColumn("fyear", F.when(
+        F.col("pair") == "match", F.col("fyear")).otherwise(F.lit(sum(NATIONAL_YEARS)) - F.col("fyear")))
+    found = K.reconcile_cells(by_year.withColumn("pair", pairs), default, ["admissions", "beddays"],
+                              by=("pair", "fyear"), tolerance=1e-6)
+    return rounded(found.select("pair", "fyear", "measure", *[
+        F.col(c).cast("double").alias(c) for c in ("default", "detailed", "diff")], "ok"))
+
+
 # ------------------------------------------------------------ cohorts
 @query("mitigators_op")
 def q_mit_op(spark, sf):

@@ -201,6 +201,13 @@ select dataset, fyear, pod, sitetret, 'beddays', cast(sum(speldur + 1) as double
 from (select b.dataset, b.fyear, b.sitetret, r.speldur, case when r.classpat = '2' then 'ip_elective_daycase' else b.pod end as pod
       from {ip_baseline} b join {ip_runs} r on b.rn = r.rn) a
 where pod <> 'op_procedure' group by dataset, fyear, pod, sitetret""",
+    # aggregated results over the population of the national product: the baseline's own pods
+    "default_means_national": """
+select b.fyear, b.pod, 'admissions' as measure, cast(count(*) as double) / 256 as mean
+from {ip_baseline} b join {ip_runs} r on b.rn = r.rn group by b.fyear, b.pod
+union all
+select b.fyear, b.pod, 'beddays', cast(sum(r.speldur + 1) as double) / 256
+from {ip_baseline} b join {ip_runs} r on b.rn = r.rn group by b.fyear, b.pod""",
     # outpatients and A&E of several years in one table
     "op_years": """
 select *, cast(2019 + rn % 3 as int) as fyear from {op_baseline}""",
