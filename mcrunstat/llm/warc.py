@@ -19,7 +19,6 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from mcrunstat.llm.common import n_partitions, stored
 
@@ -83,11 +82,22 @@ def write(pages: DataFrame, folder: str, least: int = 100) -> None:
     records = rows.mapInArrow(build, f"digest string, page_id {kind}, url string, n long, record binary")
     joined = records.join(first, "digest", "left").withColumn(
         "least", F.col("page_id").eqNullSafe(F.col("first")) & F.col("tied").isNotNull())
-    # rows that repeat a response's page_id: the first by url stays the response
+    # rows that repeat a response's page_id: the first by url stays the response, decided on
+    # slim rows.  Of equal ones any record serves, so one is kept, and the rest come from the slim rows.
     if not first.filter("tied").isEmpty():
-        tied = joined.filter(F.col("least") & F.col("tied")).withColumn("least", F.row_number().over(
-            Window.partitionBy("digest").orderBy("url")) == 1)
-        joined = joined.filter(~(F.col("least") & F.coalesce("tied", F.lit(False)))).unionByName(tied)
+        is_tied = F.col("least") & F.coalesce("tied", F.lit(False))
+        same = F.col("url").eqNullSafe(F.col("first_url"))
+        ties = (slim.join(first.filter("tied"), "digest").filter(F.col("page_id").eqNullSafe(F.col("first")))
+                .withColumn("row", F.monotonically_increasing_id()))
+        ties = stored(ties, "warc-ties")
+        urls = stored(ties.groupBy("digest").agg(F.min(F.struct(F.col("url").isNotNull(), "url", "row")).alias("u"))
+                      .select("digest", F.col("u.url").alias("first_url"), F.col("u.row").alias("first_row")), "warc-urls")
+        tied = joined.filter(is_tied).join(urls, "digest")
+        response = tied.filter(same).dropDuplicates(["digest"]).select(joined.columns)
+        others = tied.filter(~same).withColumn("least", F.lit(False)).select(joined.columns)
+        equal = (ties.join(urls, "digest").filter(same & (F.col("row") != F.col("first_row")))
+                 .withColumns({"record": F.lit(None).cast("binary"), "least": F.lit(False)}).select(joined.columns))
+        joined = joined.filter(~is_tied).unionByName(response).unionByName(others).unionByName(equal)
 
     def finish(it):
         for b in it:
