@@ -4,23 +4,27 @@ The base spans are found by rule in every whole text.  The field works on region
 runs of tokens with a digit, an ``@`` or a spelt-out ``(at)``: it cuts a region into
 units, scores every bounded run of units that could be an entity by features of the
 whole span, and picks boundaries and types jointly.  Its spans are added where no base
-span lies.  It is trained on the driver from the base spans of a bounded sample of the
-documents and from rewritten forms of generated values.
+span lies.  It is trained on the driver from the neighbourhoods of base spans, a bounded
+number of each kind chosen by hash from all documents, and from rewritten forms of
+generated values.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import random
 import re
 from array import array
+from bisect import bisect_left
 from collections import deque
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from mcrunstat.llm import semicrf
 
@@ -190,34 +194,65 @@ def all_spans(text: str, weights: dict[str, float]) -> tuple[list, list]:
     if not _CLUE.search(text):
         return [], []
     base = base_spans(text)
-    added, k = [], 0
     taken = sorted((a, b) for a, _, b in base)
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+    added: list[tuple[int, str, int]] = []
     for a, t, b in sorted(set(model_spans(text, weights))):
-        while k < len(taken) and taken[k][1] <= a and all(y <= a for _, y in taken[k:k + 1]):
-            k += 1
-        if all(y <= a or x >= b for x, y in taken[max(0, k - 4): k + 8]) and (not added or added[-1][2] <= a):
+        before = bisect_left(starts, b)  # base spans that begin before this one ends
+        if (not before or reach[before - 1] <= a) and (not added or added[-1][2] <= a):
             added.append((a, t, b))
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted([*base, *added], key=lambda s: (s[0], order[s[1]], s[2]))
 
 
-def _examples(sample: list[str], seed: int, generated: int) -> list[tuple[str, list[tuple[int, str, int]]]]:
-    """Training texts with gold spans: neighbourhoods of base spans of the sample, and
-    generated entities in usual and rewritten forms, and numbers that are none, between
-    words of the sample."""
+def _neighbourhoods(texts: Iterable[str]) -> Iterator[tuple[str, str]]:
+    """(kind, text around) of every base span of at most 200 characters."""
+    for text in texts:
+        for a, kind, b in base_spans(text):
+            if b - a <= 200:
+                lo = text.rfind(" ", max(0, a - 90), max(0, a - 30)) + 1 or max(0, a - 90)
+                yield kind, text[lo: b + 30]
+
+
+def _sample(docs: DataFrame, most: int) -> list[str]:
+    """Of the neighbourhoods in all whole texts the ``most`` distinct ones of each kind with the
+    smallest hashes.  A task keeps no more than that of a kind, so little travels."""
+    def run(it):
+        kept: dict[str, tuple[list, set]] = {k: ([], set()) for k in KINDS}
+        for b in it:
+            for kind, part in _neighbourhoods(b.column("text").to_pylist()):
+                h = int.from_bytes(hashlib.blake2b(part.encode(), digest_size=8).digest(), "big") >> 1
+                heap, seen = kept[kind]
+                if (-h, part) in seen or (len(heap) >= most and -h < heap[0][0]):
+                    continue
+                seen.add((-h, part))
+                heapq.heappush(heap, (-h, part))
+                if len(heap) > most:
+                    seen.discard(heapq.heappop(heap))
+        rows = [(kind, -h, part) for kind, (heap, _) in kept.items() for h, part in heap]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+            list(zip(*rows)) or [[]] * 3, (pa.string(), pa.int64(), pa.string()))], ["kind", "h", "part"])
+
+    found = docs.filter(F.col("text").rlike("[0-9@]")).select("text").mapInArrow(run, "kind string, h long, part string").distinct()
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("h", "part"))
+    rows = found.withColumn("place", place).filter(F.col("place") <= most).collect()
+    return [r.part for r in sorted(rows, key=lambda r: (r.kind, r.place))]
+
+
+def _examples(parts: list[str], seed: int, generated: int) -> list[tuple[str, list[tuple[int, str, int]]]]:
+    """Training texts with gold spans: the parts that hold base spans, and generated entities in
+    usual and rewritten forms, and numbers that are none, between words of the parts."""
     rng = random.Random(seed)
     out = []
-    for text in sample:
-        for a, _, b in base_spans(text)[:4]:
-            lo, hi = max(0, text.rfind(" ", 0, max(0, a - 30)) + 1), min(len(text), b + 30)
-            part = text[lo:hi]
-            gold, end = [], -1
-            for x, k, y in base_spans(part):
-                if x >= end:
-                    gold.append((x, k, y))
-                    end = y
+    for part in parts:
+        gold, end = [], -1
+        for x, k, y in base_spans(part):
+            if x >= end:
+                gold.append((x, k, y))
+                end = y
+        if gold:
             out.append((part, gold))
-    words = sorted({w for t in sample for w in t.split()[:200] if w.isalpha()})[:5000] or ["word"]
+    words = sorted({w for t in parts for w in t.split() if w.isalpha()}) or ["word"]
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
 
     def card() -> str:
@@ -250,17 +285,12 @@ def _examples(sample: list[str], seed: int, generated: int) -> list[tuple[str, l
     return out
 
 
-def train(docs: DataFrame, max_docs: int = 300, generated: int = 500, seed: int = 11, rounds: int = 25) -> dict[str, float]:
-    """Weights from at most ``max_docs`` distinct texts, those with a digit or an ``@`` and the
-    smallest hashes (only their first ``sample_chars`` characters travel to the
-    driver), and ``generated`` made-up entities; the same input gives the same weights."""
-    sample_chars = 4000
-    able = docs.select("text", F.xxhash64("text").alias("h")).filter(F.col("text").rlike("[0-9@]"))
-    picked = [r.h for r in able.select("h").distinct().orderBy("h").limit(max_docs).collect()]
-    rows = (able.filter(F.col("h") <= picked[-1]).groupBy("h").agg(F.min(F.substring("text", 1, sample_chars)).alias("t"))
-            .orderBy("h").collect()) if picked else []
+def train(docs: DataFrame, max_examples: int = 150, generated: int = 500, seed: int = 11, rounds: int = 25) -> dict[str, float]:
+    """Weights from at most ``max_examples`` neighbourhoods of base spans of each kind, found in
+    all whole texts and chosen by hash, and ``generated`` made-up entities; the same texts give
+    the same weights.  Only these neighbourhoods travel to the driver."""
     examples = []
-    for text, gold in _examples([r.t for r in rows], seed, generated):
+    for text, gold in _examples(_sample(docs, max_examples), seed, generated):
         regions = _regions(text)
         for a, b in regions:
             found, borders = lattice(text, a, b)
