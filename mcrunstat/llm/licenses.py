@@ -143,15 +143,17 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, key: str
         known = F.lit(None).cast("array<struct<template:int,license:string,size:int,clue:array<string>,levels:array<array<string>>>>")
     text = F.coalesce(F.col("text"), F.lit(""))
     hint = clue([b for *_, b in bags], share) if bags else r"\z\A."
-    able = docs.select(F.col(f"`{key}`").alias("_key"), text.alias("text")).filter(ascii_lower(F.col("text")).rlike(hint))
+    able = docs.select(F.col(f"`{key}`").alias("_key"), text.alias("text")).filter(F.col("text").rlike("(?i)" + hint))
 
     def unit(name: str, i: Column, normal: Column) -> Column:
         return F.struct(F.lit(name).alias("unit"), i.cast("long").alias("position"), normal.alias("normal"))
 
     lines = F.transform(F.split("text", "\n"), lambda x, i: unit("line", i, _normal(x)))
-    sentences = F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.when(
-        x.rlike(_STOP), F.transform(F.filter(F.split(F.regexp_replace(x, _STOP, "$1\n$2"), "\n"), lambda y: _normal(y) != _normal(x)),
-                                    lambda y: unit("sentence", i, _normal(y)))).otherwise(F.array())))
+    # a sentence is not its line where another one has words; no line is normalised once more for each of its sentences
+    sentences = F.flatten(F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.transform(
+        F.array(F.when(x.rlike(_STOP), F.filter(F.transform(
+            F.split(F.regexp_replace(x, _STOP, "$1\n$2"), "\n"), _normal), lambda y: y != "")).otherwise(F.array())),
+        lambda own: F.when(F.size(own) >= 2, F.transform(own, lambda y: unit("sentence", i, y))).otherwise(F.array())))))
     paragraphs = F.filter(F.transform(F.split("text", _BLANK), lambda x, i: unit(
         "paragraph", i, F.when(F.instr(F.btrim(x, F.lit(" \t\r\n")), "\n") > 0, _normal(x)).otherwise(""))),
         lambda u: u["normal"] != "")
