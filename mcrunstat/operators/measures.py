@@ -218,6 +218,44 @@ def aae_cell_values(rows: DataFrame, cells: Sequence[str], run: str | None = "mo
     return rows.groupBy(*keys, "measure").agg(F.sum("arrivals").alias("value"))
 
 
+def matched_rows(baseline: DataFrame, runs: DataFrame, columns: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """J1 for checked products: every run row, those without a baseline row with null attributes."""
+    runs = runs.select(*run_columns(runs, columns))
+    keys = row_keys(baseline, runs)
+    known = baseline.drop(*measures).withColumn("_known", F.lit(True))
+    # the run's own dataset or year says nothing if the baseline lacks the row
+    rows = runs.join(known, keys, "left")
+    return rows.withColumns({c: F.when(F.col("_known"), F.col(c)) for c in keys}).drop("_known")
+
+
+def op_cell_values_counted(rows: DataFrame, cells: Sequence[str], rows_measure: str, run: str = "model_run",
+                           conversions: DataFrame | None = None) -> DataFrame:
+    """A3 (+ J5) with the number of rows of every (run, cell) as one more measure, from the
+    same aggregation; null keys stay."""
+    keys = _keys(run, cells)
+    rows = rows.select(*keys, *[F.coalesce(F.col(m), F.lit(0)).cast("long").alias(m) for m in OP_MEASURES],
+                       F.lit(1).cast("long").alias(rows_measure))
+    if conversions is not None:
+        rows = rows.unionByName(conversions.select(
+            *keys, F.coalesce("attendances", F.lit(0)).cast("long").alias("attendances"), "tele_attendances",
+            F.lit(0).cast("long").alias(rows_measure)))
+    names = [*OP_MEASURES, rows_measure]
+    return rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in names]).unpivot(keys, names, "measure", "value")
+
+
+def aae_cell_values_counted(rows: DataFrame, cells: Sequence[str], rows_measure: str, run: str = "model_run",
+                            conversions: DataFrame | None = None) -> DataFrame:
+    """A4 + F8 (+ J5) with the number of rows as one more measure, as in ``op_cell_values_counted``."""
+    keys = _keys(run, cells)
+    rows = rows.select(*keys, aae_measure().alias("measure"), F.col("arrivals").cast("long").alias("arrivals"),
+                       F.lit(1).cast("long").alias("_n"))
+    if conversions is not None:
+        rows = rows.unionByName(conversions.select(*keys, "measure", "arrivals", F.lit(0).cast("long").alias("_n")))
+    totals = rows.groupBy(*keys, "measure").agg(F.sum("arrivals").alias("value"), F.sum("_n").alias("_n"))
+    return totals.select(*keys, F.inline(F.array(
+        F.struct("measure", "value"), F.struct(F.lit(rows_measure).alias("measure"), F.col("_n").alias("value")))))
+
+
 def run_row_counts(baseline: DataFrame, runs: DataFrame, run: str = "model_run",
                    n_runs: int | None = None) -> DataFrame:
     """Every run must have exactly the baseline's row count (report, not raise).

@@ -62,6 +62,50 @@ def _summarised(g: DataFrame, cells: Sequence[str], n_runs: int, all_runs_kept:
     return g.select(*cells, *[out[c].alias(c) for c in SUMMARY_COLUMNS])
 
 
+#: Fixed value: the measure under which a table of per-run values carries its row counts.
+ROWS = "_rows"
+
+
+def checked_summary(per_run: DataFrame, expected: DataFrame, cells: Sequence[str], by: Sequence[str],
+                    n_runs: int = N_RUNS, run: str = "model_run") -> DataFrame:
+    """A5 with C6 inside, in one pass: ``run_summary`` of a table that also holds, under the
+    measure ``ROWS``, how many run rows went into each (run, cell).
+
+    ``expected`` has ``by`` and ``rows``.  If for any ``by`` a run among 1..``n_runs`` is
+    missing or has another number of rows, or there are runs beyond, the job raises.  Row counts
+    are added per run by a second, map-side combined aggregation of the reduced table, so nothing
+    reads the runs again.  Null ``by`` (run rows without a baseline row) raise as well; cells
+    with a null key are counted but not reported (D4).
+    """
+    cells, by = list(cells), list(by)
+    keys = [*cells, "measure"]
+    is_rows = F.col("measure") == ROWS
+    whole = F.lit(True)
+    for c in keys:
+        whole = whole & F.col(c).isNotNull()
+    long = per_run.where(is_rows | (whole & F.col("value").isNotNull())).select(
+        run, *[F.col(c) if c in by else F.when(~is_rows, F.col(c)).alias(c) for c in cells], "measure", "value")
+    # the expected count travels as a run of its own: null
+    types = dict(long.dtypes)
+    base = expected.select(F.lit(None).cast(types[run]).alias(run),
+                           *[F.col(c) if c in by else F.lit(None).cast(types[c]).alias(c) for c in cells],
+                           F.lit(ROWS).alias("measure"), F.col("rows").cast(types["value"]).alias("value"))
+    totals = long.unionByName(base).groupBy(run, *keys).agg(F.sum("value").alias("value"))
+    real = F.when(F.col(run).isNotNull(), F.col("value").cast("double"))
+    g = totals.groupBy(*keys).agg(
+        F.collect_list(real).alias("_vals"), F.sum(real).alias("_sum"), F.min(real).alias("_least"), F.max(real).alias("_most"),
+        F.max(F.when(F.col(run).isNull(), F.col("value").cast("double"))).alias("_expected"),
+        F.count_if(F.col(run).between(1, n_runs)).alias("_runs"))
+    right = ((F.col("_runs") == n_runs) & (F.size("_vals") == n_runs)
+             & (F.col("_least") == F.col("_expected")) & (F.col("_most") == F.col("_expected")))
+    what = F.concat(F.lit("runs do not hold the baseline's rows: "), F.to_json(F.struct(
+        *by, F.col("_runs").alias("runs"), F.col("_least").alias("least"), F.col("_most").alias("most"),
+        F.col("_expected").alias("expected"))))
+    shown = (F.when(is_rows & ~F.coalesce(right, F.lit(False)), F.raise_error(what).cast("boolean"))
+             .otherwise(~is_rows))
+    return _summarised(g.where(shown), keys, n_runs)
+
+
 # ------------------------------------------------------- runs that arrive in batches
 def run_state(per_run: DataFrame, cells: Sequence[str], run: str = "model_run", value: str = "value") -> DataFrame:
     """A5/A6 as a state that can be merged: per cell the runs seen so far with their values,

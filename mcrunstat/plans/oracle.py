@@ -469,6 +469,8 @@ from ip_baseline"""
     q["detailed_op_hrg"] = detailed_op_sql(hrg=True)
     q["detailed_aae_standard"] = detailed_aae_sql(AAE_STD, hrg=False)
     q["detailed_aae_hrg"] = detailed_aae_sql(AAE_HRG, hrg=True)
+    q["detailed_op_checked"] = q["detailed_op_standard"]
+    q["detailed_aae_checked"] = q["detailed_aae_standard"]
     q["run_row_counts"] = """
 WITH r AS (select * from op_runs),
 e AS (select cast(range + 1 as int) as model_run from range(16))
@@ -849,6 +851,8 @@ select dataset, scenario, create_datetime, field,
 from n""",
         "product_refresh": """
 select b.dataset, b.fyear, b.pod, cast(sum(speldur + 1) as bigint) as beddays, count(*) as admissions from ip_baseline b group by all""",
+        "results_written": "select *, activity <> 'op' as written_late from (" + " union all by name ".join(
+            f"select *, '{a}' as activity from ({q[f'custom_baseline_{a}']}) {a}_x" for a in ("ip", "op", "aae")) + ") t",
         "runs_in_batches": q["run_summary"],
         "reconcile_cells": "WITH " + ip_per_run_ctes(IP_STD, False) + "," + summary_ctes("ipr", IP_STD + ["measure"], 256) + """,
 det AS (select dataset, fyear, measure, sum(cast(mean as decimal(28,12))) as d from summ

@@ -15,9 +15,9 @@ from ..functions.bands import los_avoided, los_custom, los_detailed, los_nationa
 from ..functions.predicates import aae_measure, ip_pod_from_class, op_pod
 from ..operators import measures as M
 from ..operators.combine import attach_baseline
-from ..operators.montecarlo import N_RUNS, fill_missing_groups, normal_ci, run_summary
+from ..operators.montecarlo import N_RUNS, ROWS, checked_summary, fill_missing_groups, normal_ci, run_summary
 from ..operators.suppress import suppress_small_counts
-from ..schema import IP_RUN_COLUMNS, HRG, STANDARD, AggConfig
+from ..schema import AAE_RUN_COLUMNS, IP_RUN_COLUMNS, OP_RUN_COLUMNS, HRG, STANDARD, AggConfig, require_columns
 from ..session import materialize
 from ..sources.catalog import run_completeness
 
@@ -83,6 +83,37 @@ def detailed_aae(baseline: DataFrame, runs: DataFrame, conversions: DataFrame |
     return run_summary(per_run, by_columns(baseline, by) + list(config.aae_cols) + ["measure"], n_runs)
 
 
+def _expected_rows(baseline: DataFrame, by: Sequence[str]) -> DataFrame:
+    return baseline.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def detailed_op_checked(baseline: DataFrame, runs: DataFrame, conversions: DataFrame | None,
+                        config: AggConfig = STANDARD, n_runs: int = N_RUNS, by: Sequence[str] | None = None) -> DataFrame:
+    """P2 with C6 inside: raises if a run does not hold the rows of the baseline; the runs are
+    read once."""
+    require_columns(runs, OP_RUN_COLUMNS, "op runs")
+    by = by_columns(baseline, by)
+    cells = by + list(config.op_cols)
+    base = M.op_baseline_prepared(baseline, config.age_groups)
+    rows = M.matched_rows(base, runs, OP_RUN_COLUMNS, M.OP_MEASURES)
+    conv = None if conversions is None else M.op_conversion_rows(conversions, cells, config.age_groups)
+    per_run = M.op_cell_values_counted(rows, cells, ROWS, conversions=conv)
+    return checked_summary(per_run, _expected_rows(base, by), cells, by, n_runs)
+
+
+def detailed_aae_checked(baseline: DataFrame, runs: DataFrame, conversions: DataFrame | None,
+                         config: AggConfig = STANDARD, n_runs: int = N_RUNS, by: Sequence[str] | None = None) -> DataFrame:
+    """P3 with C6 inside, as ``detailed_op_checked``."""
+    require_columns(runs, AAE_RUN_COLUMNS, "aae runs")
+    by = by_columns(baseline, by)
+    cells = by + list(config.aae_cols)
+    base = M.aae_baseline_prepared(baseline, config.age_groups)
+    rows = M.matched_rows(base, runs, AAE_RUN_COLUMNS, ("arrivals",))
+    conv = None if conversions is None else M.aae_conversion_rows(conversions, cells, config.age_groups)
+    per_run = M.aae_cell_values_counted(rows, cells, ROWS, conversions=conv)
+    return checked_summary(per_run, _expected_rows(base, by), cells, by, n_runs)
+
+
 # ------------------------------------------------------------------ P5
 def ip_baseline_cells(baseline: DataFrame, config: AggConfig = HRG, by: Sequence[str] | None = None) -> DataFrame:
     base = M.ip_measures(M.with_age_groups(baseline, config.age_groups), los_detailed)

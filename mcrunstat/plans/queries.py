@@ -175,6 +175,18 @@ REGISTRY["detailed_aae_standard"] = _detailed_aae(STANDARD)
 REGISTRY["detailed_aae_hrg"] = _detailed_aae(HRG)
 
 
+@query("detailed_op_checked")
+def q_detailed_op_checked(spark, sf):
+    fx = _fx(spark, sf)
+    return P.detailed_op_checked(M.add_op_pod(fx["op_baseline"]), fx["op_runs"], fx["op_conversion"], STANDARD, N_OTHER)
+
+
+@query("detailed_aae_checked")
+def q_detailed_aae_checked(spark, sf):
+    fx = _fx(spark, sf)
+    return P.detailed_aae_checked(fx["aae_baseline"], fx["aae_runs"], fx["sdec_conversion"], STANDARD, N_OTHER)
+
+
 @query("run_row_counts")
 def q_run_row_counts(spark, sf):
     fx = _fx(spark, sf)

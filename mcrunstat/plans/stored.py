@@ -22,7 +22,7 @@ from ..sources import catalog as G
 from ..sources import layout as L
 from ..sources import scan as S
 from ..sources.fixtures import Fixtures
-from ..sources.sink import advance_state
+from ..sources.sink import advance_state, output_base, write_activities
 from . import products as P
 
 ROUND = 6
@@ -169,6 +169,27 @@ def product_refresh(spark, sf):
     return L.read_product(spark, root, PRODUCT_KEYS).select(*PRODUCT_KEYS, "pod", "beddays", "admissions")
 
 
+@query
+def results_written(spark, sf):
+    """Custom baselines of chosen activities written in chosen formats, largest
+    values first; a second call for all activities skips what is complete; each is read by name."""
+    fx, root = Fixtures(spark, sf), _folder(spark, "written")
+    products = {"ip": P.custom_baseline_ip(fx["ip_baseline"]), "op": P.custom_baseline_op(fx["op_baseline"]),
+                "aae": P.custom_baseline_aae(fx["aae_baseline"])}
+    order = {a: ["value", "dataset"] for a in products}
+    names = (root, "scn", "custom", "standard")
+    write_activities(products, *names, activities=("op",), formats=("csv", "parquet"), sort_by=order, descending=("value",))
+    late = write_activities(products, *names, formats=("parquet",), sort_by=order, descending=("value",))
+    out = {}
+    for a in products:
+        base = output_base(root, "scn", "custom", a, "standard")
+        stored = S.read_parquet(spark, f"{base}.parquet")
+        if not late[a]:  # complete before: its CSV must hold the same rows
+            stored = spark.read.csv(f"{base}.csv", header=True, schema=stored.schema)
+        out[a] = stored.withColumn("written_late", F.lit(late[a]))
+    return P._stacked(out)
+
+
 @query
 def runs_in_batches(spark, sf):
     """A5 as runs arrive: 256 runs in 9 batches, each joined to the stored state."""

@@ -77,14 +77,16 @@ def output_base(root: str, scenario: str, product: str, activity: str, agg_type:
 
 def write_activities(products: dict[str, DataFrame], root: str, scenario: str, product: str, agg_type: str,
                      activities: Sequence[str] = ("ip", "op", "aae"), formats: Sequence[str] = FORMATS,
-                     sort_by: dict[str, Sequence[str]] | None = None) -> dict[str, bool]:
+                     sort_by: dict[str, Sequence[str]] | None = None,
+                     descending: Sequence[str] = ()) -> dict[str, bool]:
     """Write the chosen activities' products, each skipped on its own when complete;
     says per activity whether it was written."""
     unknown = [a for a in activities if a not in products]
     if unknown:
         raise ValueError(f"no product for {unknown}; there are {sorted(products)}")
     return {a: write_results(products[a], output_base(root, scenario, product, a, agg_type),
-                             sort_by=(sort_by or {}).get(a), formats=formats) for a in activities}
+                             sort_by=(sort_by or {}).get(a), formats=formats, descending=descending)
+            for a in activities}
 
 
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "rn",

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from mcrunstat.operators import measures as M
@@ -103,3 +104,44 @@ def test_null_sums_of_op_cells_are_zero(spark):
     rows = spark.createDataFrame([("S", None, None)], "sitetret string, attendances int, tele_attendances int")
     got = {r["measure"]: r["value"] for r in M.op_cell_values(rows, ["sitetret"], run=None).collect()}
     assert got == {"attendances": 0, "tele_attendances": 0}
+
+
+def _op_checked(spark, drop=None, extra=None):
+    base = spark.createDataFrame(
+        [(1, "A", "S1", "ag", 3, "t", "op_first", 5, 1), (2, "A", None, "ag", 4, "t", "op_first", 2, 0),
+         (1, "B", "S1", "ag", 5, "t", None, 7, 2)],
+        "rn long, dataset string, sitetret string, age_group string, age int, tretspef string, pod string,"
+        " attendances int, tele_attendances int").withColumns({"is_first": F.lit(True), "has_procedures": F.lit(False)})
+    runs = [(r, d, n, 10 * r, r) for r in (1, 2) for d, n in (("A", 1), ("A", 2), ("B", 1)) if (r, d, n) != drop]
+    runs = spark.createDataFrame(runs + (extra or []), "model_run int, dataset string, rn long, attendances int, tele_attendances int")
+    return base, runs
+
+
+def test_checked_product_equals_the_plain_one_and_reads_runs_once(spark, tmp_path):
+    base, runs = _op_checked(spark)
+    runs.write.parquet(f"{tmp_path}/runs")
+    runs = spark.read.parquet(f"{tmp_path}/runs")
+    got = P.detailed_op_checked(base, runs, None, STANDARD, n_runs=2)
+    want = P.detailed_op(base, runs, None, STANDARD, n_runs=2)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+
+
+@pytest.mark.parametrize("case", [
+    {"drop": (2, "A", 2)},                                        # a short run
+    {"extra": [(1, "B", 1, 4, 4)]},                               # a row twice
+    {"extra": [(1, "A", 9, 4, 4)]},                               # a row that the baseline lacks
+    {"extra": [(3, "A", 1, 1, 1), (3, "A", 2, 1, 1), (3, "B", 1, 1, 1)]},  # a run beyond
+])
+def test_checked_product_raises_on_other_row_counts(spark, case):
+    base, runs = _op_checked(spark, **case)
+    with pytest.raises(Exception, match="runs do not hold"):
+        P.detailed_op_checked(base, runs, None, STANDARD, n_runs=2).collect()
+
+
+def test_checked_product_raises_on_a_missing_run(spark):
+    base, runs = _op_checked(spark)
+    with pytest.raises(Exception, match="runs do not hold"):
+        P.detailed_op_checked(base, runs.where("model_run = 1"), None, STANDARD, n_runs=2).collect()
