@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mcrunstat.operators import measures as M
+from mcrunstat.sources.fixtures import Fixtures
+from tests.conftest import SF_SMALL
 
 
 def _plan(df):
@@ -29,3 +31,9 @@ def test_runs_are_not_broadcast(spark, kind):
     value = "attendances" if kind == "op" else "arrivals"
     got = sorted((r["rn"], r["model_run"], r[value]) for r in df.collect())
     assert got == [(rn, run, run) for rn in (1, 2) for run in range(1, 17)]
+
+
+@pytest.mark.parametrize("kind", ["op", "aae"])
+def test_aggregated_results_do_not_broadcast_runs(spark, kind):
+    plan = _plan(Fixtures(spark, SF_SMALL)["default_means"].where(F.col("activity") == kind))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
