@@ -37,3 +37,8 @@ def test_runs_are_not_broadcast(spark, kind):
 def test_aggregated_results_do_not_broadcast_runs(spark, kind):
     plan = _plan(Fixtures(spark, SF_SMALL)["default_means"].where(F.col("activity") == kind))
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_run_listing_does_not_broadcast_runs(spark):
+    plan = _plan(Fixtures(spark, SF_SMALL)["default_old"])
+    assert plan.count("SortMergeJoin") >= 1
