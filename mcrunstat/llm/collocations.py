@@ -138,15 +138,14 @@ def number(words: DataFrame, least: int) -> tuple[DataFrame, Numbers]:
     bits = max(4, int(parts - 1).bit_length() + 1)
     folder = scratch(spark, "phrase-numbers")
 
+    def hashed(b):
+        for _, _, data, off in tb.batches(b.column("word"), 1 << 40):  # all rows at once
+            return _hashes(data, off[:-1], off[1:], _salts(b.column("lang").to_pylist()))
+
     def name(it):
         for b in it:
-            if not b.num_rows:
-                continue
-            for _, _, data, off in tb.batches(b.column("word"), 1 << 40):  # all rows at once
-                names, checks = _hashes(data, off[:-1], off[1:], _salts(b.column("lang").to_pylist()))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("lang", "word", "f")),
-                                              pa.array(names.view(np.int64)), pa.array(checks.view(np.int64))],
-                                             ["lang", "word", "f", "name", "check"])
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in hashed(b)], ["name", "check"])
 
     def write(it):
         # a shard is one partition's run of rows: names of equal top bits, in order
@@ -173,11 +172,11 @@ def number(words: DataFrame, least: int) -> tuple[DataFrame, Numbers]:
         if held:
             yield out()
 
-    frequent = (words.filter(F.col("f") >= least)
-                .mapInArrow(name, "lang string, word string, f long, name long, check long")
-                .withColumn("shard", F.shiftrightunsigned("name", 64 - bits).cast("int")))
+    frequent = words.filter(F.col("f") >= least)
+    shards = (frequent.mapInArrow(name, "name long, check long")
+              .withColumn("shard", F.shiftrightunsigned("name", 64 - bits).cast("int")))
     unsigned = F.col("name").bitwiseXOR(F.lit(-(1 << 63)))
-    sizes = stored(frequent.select("shard", "name", "check").repartition(parts, "shard")
+    sizes = stored(shards.repartition(parts, "shard")
                    .sortWithinPartitions("shard", unsigned).mapInArrow(write, "shard int, size long"), "phrase-sizes")
     per = np.zeros((1 << bits) + 1, np.int64)
     for r in sizes.collect():  # one row a shard
@@ -188,12 +187,13 @@ def number(words: DataFrame, least: int) -> tuple[DataFrame, Numbers]:
     numbers = Numbers(folder, bases, bits)
 
     def ids(it):
+        # names are made anew: a second Python worker behind the first would stay with every task
         for b in it:
-            names, checks = (np.asarray(b.column(c)).view(np.uint64) for c in ("name", "check"))
-            yield pa.RecordBatch.from_arrays([pa.array(numbers.of(names, checks)), *(b.column(c) for c in ("lang", "word", "f"))],
-                                             ["id", "lang", "word", "f"])
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(numbers.of(*hashed(b))), *(b.column(c) for c in ("lang", "word", "f"))],
+                                                 ["id", "lang", "word", "f"])
 
-    numbered = stored(frequent.drop("shard").mapInArrow(ids, "id long, lang string, word string, f long"), "phrase-numbered")
+    numbered = stored(frequent.mapInArrow(ids, "id long, lang string, word string, f long"), "phrase-numbered")
     return numbered, numbers
 
 

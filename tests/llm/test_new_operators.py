@@ -336,3 +336,20 @@ def test_licences_equal_sql_in_all_units(spark):
     assert {r[names.index("unit")] for r in got_rows} == set(licenses.UNITS)
     # A B A: the run A B reaches the threshold although a longer run has a better bound
     assert any(r["doc_id"] == 1 and r["unit"] == "run" and r["position"] == 0 for r in (x.asDict() for x in got.collect()))
+
+
+def test_collocations_need_one_python_worker_a_task(spark, monkeypatch):
+    """No stage has two Python operators: each would hold a worker of its own in every task."""
+    from mcrunstat.llm import collocations as co
+
+    plans = []
+    keep = co.stored
+    monkeypatch.setattr(co, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, name))
+    rows = [("en", "a b c. a b c")] * 6
+    got = sorted(tuple(r) for r in co.collocations(spark.createDataFrame(rows, "lang string, text string"), 4, 30).collect())
+    assert got == _plain_collocations(rows, 4, 30, 50)
+    assert any("MapInArrow" in p for p in plans)
+    for plan in plans:
+        for below in plan.split("MapInArrow")[1:]:
+            # what follows in the text up to the next MapInArrow is what lies below, or another branch
+            assert re.search("Exchange|Scan|LocalTable|ExistingRDD", below), plan
