@@ -65,7 +65,7 @@ def _own_tables(spark, folder):
     return str(folder), con
 
 
-@pytest.mark.parametrize("key", ["detailed_aae_hrg", "detailed_aae_standard"])
+@pytest.mark.parametrize("key", ["detailed_aae_hrg", "detailed_aae_standard", "detailed_op_hrg"])
 def test_detailed_query_broadcasts_nothing(spark, tmp_path, key):
     sf, con = _own_tables(spark, tmp_path)
     df = queries()[key](spark, sf)
