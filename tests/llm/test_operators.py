@@ -292,6 +292,20 @@ def test_repeats(spark, length, most):
     assert dedup(data.none(spark), length=length).count() == 0
 
 
+def test_repeats_counts_bytes_not_words(spark, tmp_path):
+    """A shared passage of over 50 words goes from 400 bytes on, whatever its words."""
+    from mcrunstat.llm.queries import QUERIES
+
+    passages = [" ".join(f"{w}{k:05d}" for k in range(58))[:n] for w, n in (("a", 399), ("b", 400))]
+    assert all(len(p.split()) > 50 for p in passages) and [len(p) for p in passages] == [399, 400]
+    # what stands beside a passage differs, so nothing longer repeats
+    rows = [(10 * j + i, f"own words of {10 * j + i}, {i}{p}{i}") for j, p in enumerate(passages) for i in (2, 3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = data.got(QUERIES["op4_suffix_dedup"](spark, str(tmp_path)))
+    assert out == _repeats(rows, 400)
+    assert {r[0]: r[2] for r in out} == {2: 0, 3: 0, 12: 400, 13: 400}
+
+
 # ---- 5: WARC
 
 def test_warc(spark, tmp_path):
